@@ -196,3 +196,21 @@ LISTING_MODEL_KEYS = [
 # Model ids of the three baseline predictors.
 BASELINE_MODELS = ["baseline_global", "baseline_series", "baseline_series_fuel"]
 DEFAULT_MODEL = "baseline_series_fuel"
+
+# --- fixed values: synthetic request generator (value ranges of the load test) ---
+GEN_MODEL_KEYS = ["320d", "530i", "X5", "M3"]
+GEN_MILEAGE = (5000, 200000)
+GEN_POWERS = [184, 252, 306, 340]
+GEN_REG_YEARS = (2010, 2020)
+GEN_SOLD_YEARS = (2015, 2023)
+GEN_FUELS = ["diesel", "petrol"]
+GEN_COLORS = ["black", "white", "blue", "grey"]
+GEN_CAR_TYPES = ["sedan", "suv", "coupe"]
+
+# --- fixed values: validation lists of the listing fixture (lower-cased) ---
+FIXTURE_FUELS = ["economy", "large", "medium", "promo", "small", "standard"]
+FIXTURE_CAR_TYPES = ["1-urgent", "2-high", "3-medium", "4-not specified", "5-low"]
+
+# --- fixed values: corrupted-row removal ---
+MAX_CORRUPT_SHARE_PCT = 5.0
+GOLDEN_ROWS_PER_QUARTILE = 25

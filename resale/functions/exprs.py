@@ -82,9 +82,19 @@ def adjusted_skewness(c: Column) -> Column:
     return F.when(n > 2, F.skewness(c) * F.sqrt(n * (n - 1)) / (n - 2))
 
 
+def round_half_away(c: Column, decimals: int = 4) -> Column:
+    """Round a double to ``decimals`` as round(x * 10^d) / 10^d, half away from zero, no -0.0.
+
+    Scaling first and rounding the scaled double makes the result depend
+    only on IEEE arithmetic, so every engine produces the same bits.
+    """
+    scale = float(10**decimals)
+    return F.round(c.cast("double") * scale) / scale + F.lit(0.0)
+
+
 def r4(c: Column) -> Column:
     """Round a double for presentation (4 decimals)."""
-    return F.round(c.cast("double"), 4)
+    return round_half_away(c, 4)
 
 
 def finalize(df: DataFrame, decimals: int = 4) -> DataFrame:
@@ -94,7 +104,7 @@ def finalize(df: DataFrame, decimals: int = 4) -> DataFrame:
         if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             cols.append(F.col(f.name).cast("long").alias(f.name))
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            cols.append(F.round(F.col(f.name).cast("double"), decimals).alias(f.name))
+            cols.append(round_half_away(F.col(f.name), decimals).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

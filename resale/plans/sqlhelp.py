@@ -5,7 +5,13 @@ from __future__ import annotations
 
 def R(expr: str, alias: str, d: int = 4) -> str:
     """Double rounded like :func:`resale.functions.exprs.finalize`."""
-    return f"round(CAST({expr} AS DOUBLE), {d}) AS {alias}"
+    scale = 10**d
+    return f"(round(CAST({expr} AS DOUBLE) * {scale}) / {scale} + 0.0) AS {alias}"
+
+
+def D(expr: str, alias: str) -> str:
+    """Nullable integer values, output as double on both sides."""
+    return R(expr, alias)
 
 
 def I(expr: str, alias: str) -> str:  # noqa: E743

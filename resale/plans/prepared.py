@@ -117,6 +117,15 @@ def baseline_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def model_rmse(spark: SparkSession, sf_dir: str, model_id: str = K.DEFAULT_MODEL) -> DataFrame:
+    """Train RMSE (euro) of a baseline model: 1-row fitted table used by the prediction interval."""
+    return _materialize(
+        spark, f"rmse-{model_id}", sf_dir,
+        lambda: scored(spark, sf_dir).where((F.col("model_id") == model_id) & (F.col("data_split") == "train"))
+        .agg(F.sqrt(F.avg(F.pow("residual_euro", 2))).alias("rmse")).coalesce(1),
+    )
+
+
 SCORED_COLUMNS = [
     "order_key", "line_number", "part_key", "supp_key", "data_split", "model_key", "series", "fuel", "car_type",
     "paint_color", "mileage", "car_age_years", "engine_power", "annual_mileage", "sold_at", "price", "price_log",

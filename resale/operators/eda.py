@@ -15,6 +15,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from resale.functions import constants as K
 from resale.functions.exprs import adjusted_skewness
@@ -40,9 +41,17 @@ PROFILE = {
 }
 
 
+def quartiles_array(c: Column) -> Column:
+    """Exact quartiles as one ``percentile`` call over an array of levels (one value map, not three)."""
+    return F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+
+
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """A-01: distribution profile with IQR."""
-    return per_column(df, columns, PROFILE).withColumn("iqr", F.col("q3") - F.col("q1"))
+    stats = {"n": lambda c: F.count(c), "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "_q": quartiles_array}
+    s = per_column(df, columns, stats)
+    q1, med, q3 = (F.col("_q")[i] for i in range(3))
+    return s.select("column_name", "n", "mean", med.alias("median"), "std", "min", "max", q1.alias("q1"), q3.alias("q3"), (q3 - q1).alias("iqr"))
 
 
 def skewness(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -60,7 +69,7 @@ def shape(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def fences(df: DataFrame, col: str) -> DataFrame:
     """1-row frame: quartiles and the 1.5·IQR fences of ``col``."""
-    s = df.agg(F.percentile(col, F.lit(0.25)).alias("q1"), F.percentile(col, F.lit(0.75)).alias("q3"))
+    s = df.agg(F.percentile(col, F.array(F.lit(0.25), F.lit(0.75))).alias("_q")).select(F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     return s.select("q1", "q3", (F.col("q1") - K.IQR_K * iqr).alias("lower_fence"), (F.col("q3") + K.IQR_K * iqr).alias("upper_fence"))
 
@@ -95,13 +104,29 @@ def strong_predictors(corr: DataFrame) -> DataFrame:
     return strong.crossJoin(F.broadcast(n)).select("column_name", "r", F.abs("r").alias("abs_r"), "n_strong", grade.alias("grade"))
 
 
-def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Upper triangle of the correlation matrix, all pairs in one aggregate."""
+CORR_CHUNK = 12
+
+
+def correlation_pairs(df: DataFrame, columns: list[str], chunk: int = CORR_CHUNK) -> DataFrame:
+    """Upper triangle of the correlation matrix (pairwise-complete).
+
+    The pairs are computed in aggregates of at most ``chunk`` correlations:
+    one aggregate with all 78 pairs generates code too large to compile
+    (Spark then falls back to a row-at-a-time path, about 6x slower), while
+    each chunk stays inside whole-stage code generation.
+    """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs])
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("r")) for a, b in pairs
-    ])))
+    parts = []
+    for i in range(0, len(pairs), chunk):
+        group = pairs[i:i + chunk]
+        wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}") for a, b in group])
+        parts.append(wide.select(F.inline(F.array(*[
+            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("r")) for a, b in group
+        ]))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def high_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -151,7 +176,8 @@ def qq_points(df: DataFrame, col: str, n_points: int = 99) -> DataFrame:
 
 def box_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     """A-12: five numbers (whiskers inside the fences) and outlier count per column."""
-    quart = per_column(df, columns, {"q1": q(0.25), "median": q(0.5), "q3": q(0.75)})
+    quart = per_column(df, columns, {"_q": quartiles_array})
+    quart = quart.select("column_name", *[F.col("_q")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])])
     iqr = F.col("q3") - F.col("q1")
     quart = quart.withColumns({"lo_f": F.col("q1") - K.IQR_K * iqr, "hi_f": F.col("q3") + K.IQR_K * iqr})
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns])))
@@ -191,7 +217,7 @@ def anova(df: DataFrame, cats: list[str], target: str = "price") -> DataFrame:
     return s.select("feature", "k", "n_total", dfb.alias("df_between"), dfw.alias("df_within"), f.alias("f_stat"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _f_pvalue(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series([f_sf(a, b, c) for a, b, c in zip(f, d1, d2)], dtype="float64")
 
@@ -206,6 +232,5 @@ def anova_pvalue(an: DataFrame) -> DataFrame:
 
 def category_quartiles(df: DataFrame, cats: list[str], target: str = "price") -> DataFrame:
     """A-16: quartiles of the target per category value."""
-    return long_categories(df, cats, target).groupBy("feature", "value").agg(
-        F.percentile("_y", F.lit(0.25)).alias("q1"), F.percentile("_y", F.lit(0.5)).alias("median"),
-        F.percentile("_y", F.lit(0.75)).alias("q3"), F.count(F.lit(1)).alias("n"))
+    g = long_categories(df, cats, target).groupBy("feature", "value").agg(quartiles_array(F.col("_y")).alias("_q"), F.count(F.lit(1)).alias("n"))
+    return g.select("feature", "value", *[F.col("_q")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])], "n")

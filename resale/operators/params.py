@@ -30,17 +30,30 @@ def quantile(spark: SparkSession, col: str | Column, q: float) -> Column:
     return F.percentile(c, F.lit(q)).cast("double")
 
 
+def quantiles(spark: SparkSession, col: str | Column, qs: list[float]) -> Column:
+    """Several levels of one column in one aggregate (one value map / one sketch per column)."""
+    c = F.col(col) if isinstance(col, str) else col
+    levels = F.array(*[F.lit(q) for q in qs])
+    if spark.conf.get("spark.resale.quantiles", "exact") == "approx":
+        acc = int(spark.conf.get("spark.resale.quantileAccuracy", "100000"))
+        return F.percentile_approx(c.cast("double"), levels, acc)
+    return F.percentile(c, levels)
+
+
 def learn(train: DataFrame) -> DataFrame:
     """1-row frame of winsor caps and imputation medians, from train rows only."""
     spark = train.sparkSession
-    return train.agg(
-        quantile(spark, "mileage", K.MILEAGE_CAP_Q).alias("mileage_cap"),
-        quantile(spark, "price", K.PRICE_FLOOR_Q).alias("price_floor"),
-        quantile(spark, "price", K.PRICE_CAP_Q).alias("price_cap"),
-        quantile(spark, "mileage", 0.5).alias("median_mileage"),
+    s = train.agg(
+        quantiles(spark, "mileage", [K.MILEAGE_CAP_Q, 0.5]).alias("_m"),
+        quantiles(spark, "price", [K.PRICE_FLOOR_Q, K.PRICE_CAP_Q]).alias("_p"),
         quantile(spark, "engine_power", 0.5).alias("median_engine_power"),
         quantile(spark, "age_raw", 0.5).alias("median_age"),
     )
+    return s.select(
+        F.col("_m")[0].cast("double").alias("mileage_cap"), F.col("_p")[0].cast("double").alias("price_floor"),
+        F.col("_p")[1].cast("double").alias("price_cap"), F.col("_m")[1].cast("double").alias("median_mileage"),
+        "median_engine_power", "median_age",
+    )
 
 
 def attach(df: DataFrame, params: DataFrame) -> DataFrame:

@@ -134,11 +134,11 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
         x = F.col(c).cast("double")
         aggs += [
             F.count(c).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-            F.min(x).alias(f"{c}__min"), F.percentile(x, F.lit(0.25)).alias(f"{c}__p25"),
-            F.percentile(x, F.lit(0.5)).alias(f"{c}__p50"), F.percentile(x, F.lit(0.75)).alias(f"{c}__p75"),
+            F.min(x).alias(f"{c}__min"), F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q"),
             F.max(x).alias(f"{c}__max"),
         ]
     wide = df.agg(*aggs)
+    wide = wide.withColumns({f"{c}__p{p}": F.col(f"{c}__q")[i] for c in columns for i, p in enumerate((25, 50, 75))})
     stats = ["n", "mean", "std", "min", "p25", "p50", "p75", "max"]
     rows = F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{s}").cast("double" if s != "n" else "long").alias(s) for s in stats])

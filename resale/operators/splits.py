@@ -55,15 +55,13 @@ def time_split(df: DataFrame, date_col: str = "sold_at") -> DataFrame:
     """
     day = F.datediff(F.to_date(F.col(date_col)), F.lit("1970-01-01").cast("date"))
     d = df.withColumn("_day", day)
-    cuts = d.agg(
-        F.percentile("_day", 0.6).alias("_cut_train"),
-        F.percentile("_day", 0.8).alias("_cut_val"),
-    )
+    cuts = d.agg(F.percentile("_day", F.array(F.lit(0.6), F.lit(0.8))).alias("_c")).select(
+        F.col("_c")[0].alias("_cut_train"), F.col("_c")[1].alias("_cut_val"))
     return (
         d.crossJoin(F.broadcast(cuts))
         .withColumn(
             "time_split",
             F.when(F.col("_day") <= F.col("_cut_train"), "train").when(F.col("_day") <= F.col("_cut_val"), "val").otherwise("test"),
         )
-        .drop("_day")
+        .drop("_day", "_cut_train", "_cut_val")
     )

@@ -20,13 +20,12 @@ def _base_query(name, doc, spark_cols, sql_cols, source="base"):
     """A query that reads columns of the written base (or processed) table."""
     with_ = WITH_BASE if source == "base" else WITH_PROCESSED
 
-    @query(name, f"{with_}\nSELECT {KEYS_SQL}, {sql_cols} FROM {source}")
     def q(spark, sf_dir):
         t = P.base(spark, sf_dir) if source == "base" else P.processed(spark, sf_dir)
         return t.select(*KEYS, *spark_cols)
 
     q.__doc__ = doc
-    return q
+    return query(name, f"{with_}\nSELECT {KEYS_SQL}, {sql_cols} FROM {source}")(q)
 
 
 _base_query("f02_series", "F-02: ordered substring classifier of the model key.", ["model_key", "series"], "model_key, series")

@@ -44,14 +44,13 @@ def m08_all_metrics(spark, sf_dir):
 
 
 def _single(name, col_expr_spark, sql_expr):
-    @query(name, f"""{WITH_SCORED}
-SELECT model_id, data_split, {R(sql_expr, 'value')} FROM scored GROUP BY model_id, data_split""")
     def q(spark, sf_dir):
         a, p = F.col("actual_euro"), F.col("predicted_euro")
         return P.scored(spark, sf_dir).groupBy(*GROUP).agg(col_expr_spark(a, p).alias("value"))
 
-    q.__doc__ = f"{name}: one metric per model and split."
-    return q
+    q.__doc__ = f"{name[:3].upper().replace('M', 'M-')}: {name[4:]} per model and split."
+    return query(name, f"""{WITH_SCORED}
+SELECT model_id, data_split, {R(sql_expr, 'value')} FROM scored GROUP BY model_id, data_split""")(q)
 
 
 _single("m01_mae", M.mae, "avg(abs(actual_euro - predicted_euro))")

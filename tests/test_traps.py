@@ -158,9 +158,17 @@ def test_validation_rules(spark):
 
 
 def test_finalize_rounding_is_engine_independent(spark):
-    df = spark.createDataFrame([(-0.00005,), (0.00015,), (-0.0,), (2.5e-5,)], "x double")
+    import duckdb
+
+    from resale.plans.sqlhelp import R
+
+    xs = [-0.00005, 0.00015, -0.0, 2.5e-5, 1234.56785, -7.77775, 0.1 + 0.2]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
     got = [r.x for r in finalize(df).collect()]
-    assert got[0] == -0.0001 and got[1] == 0.0002 and math.copysign(1, got[2]) == 1.0
+    con = duckdb.connect()
+    want = [con.execute(f"SELECT {R('x', 'y')} FROM (SELECT CAST(? AS DOUBLE) AS x)", [x]).fetchone()[0] for x in xs]
+    assert [repr(g) for g in got] == [repr(w) for w in want]
+    assert math.copysign(1, got[2]) == 1.0
 
 
 def test_f_distribution_tail():

@@ -121,7 +121,7 @@ def model_rmse(spark: SparkSession, sf_dir: str, model_id: str = K.DEFAULT_MODEL
     """Train RMSE (euro) of a baseline model: 1-row fitted table used by the prediction interval."""
     return _materialize(
         spark, f"rmse-{model_id}", sf_dir,
-        lambda: scored(spark, sf_dir).where((F.col("model_id") == model_id) & (F.col("data_split") == "train"))
+        lambda: scored(spark, sf_dir, models=[model_id]).where(F.col("data_split") == "train")
         .agg(F.sqrt(F.avg(F.pow("residual_euro", 2))).alias("rmse")).coalesce(1),
     )
 
@@ -149,14 +149,20 @@ def predictions(df: DataFrame, fit: DataFrame) -> DataFrame:
     }).drop("_p_sf", "_p_s", "_p_g")
 
 
-def scored(spark: SparkSession, sf_dir: str, inverse: str = "expm1", columns: list[str] | None = None) -> DataFrame:
-    """Long scored table: one row per (model_id, listing) with euro values and residual columns (R-01)."""
+def scored(spark: SparkSession, sf_dir: str, inverse: str = "expm1", columns: list[str] | None = None,
+           models: list[str] | None = None) -> DataFrame:
+    """Long scored table: one row per (model_id, listing) with euro values and residual columns (R-01).
+
+    ``models`` limits the generated rows to the models a query reads (the
+    model id is a generated column, so a later filter could not be pushed
+    below the generator).
+    """
     cols = columns or SCORED_COLUMNS
     df = predictions(processed(spark, sf_dir).select(*cols), baseline_fit(spark, sf_dir))
     long = df.select(
         *cols,
         F.inline(F.array(*[
-            F.struct(F.lit(m).alias("model_id"), F.col(f"pred_{m}").alias("predicted_log")) for m in K.BASELINE_MODELS
+            F.struct(F.lit(m).alias("model_id"), F.col(f"pred_{m}").alias("predicted_log")) for m in (models or K.BASELINE_MODELS)
         ])),
     )
     return residual_columns(long, inverse)

@@ -23,7 +23,7 @@ mon AS (SELECT * FROM scored WHERE model_id = '{K.DEFAULT_MODEL}')"""
 
 
 def mon_frame(spark, sf_dir):
-    return P.scored(spark, sf_dir).where(F.col("model_id") == K.DEFAULT_MODEL)
+    return P.scored(spark, sf_dir, models=[K.DEFAULT_MODEL])
 
 
 def _shift_sql():

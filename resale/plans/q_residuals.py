@@ -22,8 +22,8 @@ res AS (SELECT * FROM scored WHERE model_id = '{K.DEFAULT_MODEL}' AND data_split
 
 
 def res_frame(spark, sf_dir):
-    s = P.scored(spark, sf_dir)
-    return s.where((F.col("model_id") == K.DEFAULT_MODEL) & (F.col("data_split") == "val"))
+    s = P.scored(spark, sf_dir, models=[K.DEFAULT_MODEL])
+    return s.where(F.col("data_split") == "val")
 
 
 @query("r01_residual_columns", f"""{WITH_RES}

@@ -95,3 +95,11 @@ def test_gate_monotone_in_thresholds(spark):
     n_base = selection.gate(gm, K.GATE_THRESHOLDS).where("passed").count()
     n_loose = selection.gate(gm, loose).where("passed").count()
     assert n_strict <= n_base <= n_loose
+
+
+def test_forest_beats_baseline_on_train(spark):
+    # SURVEY §5 (4): loose quality bound for the ML models (rows-only in the oracle run).
+    qs = catalog.queries()
+    rf = {r.data_split: r.mae for r in qs["t01_random_forest"](spark, SF_SMALL).collect()}
+    base = {(r.model_id, r.data_split): r.mae for r in qs["m08_all_metrics"](spark, SF_SMALL).collect()}
+    assert rf["train"] < base[("baseline_series_fuel", "train")]

@@ -20,23 +20,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import models
 
-from resale.llm.chunks import ChunkEncoder
+from resale.llm.chunks import ChunkEncoder, byte_table
 from resale.llm.common import keyed, slices, strings
 
 
-def byte_table() -> list[str]:
-    """Character of each byte: printable Latin-1 characters stand for themselves, the others follow from U+0100 on."""
-    shown = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
-    out, spare = [], 256
-    for b in range(256):
-        out.append(chr(b) if b in shown else chr(spare))
-        spare += b not in shown
-    return out
+#: Bytes of text or ids handled at once.
+SLICE = 4 << 20
 
 
 class Codec:
@@ -46,7 +39,6 @@ class Codec:
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         chars = byte_table()
-        self.to_char = {b: c for b, c in enumerate(chars)}
         self.to_byte = {c: b for b, c in enumerate(chars)}
         shown = {tok: "".join(chars[x] for x in tok) for tok in ranks}
         merges = []
@@ -54,27 +46,12 @@ class Codec:
             pairs = [(tok[:i], tok[i:]) for i in range(1, len(tok)) if tok[:i] in ranks and tok[i:] in ranks]
             merges += [(shown[a], shown[b]) for a, b in sorted(pairs, key=lambda p: (ranks[p[0]], ranks[p[1]]))]
         self.model = models.BPE(vocab={shown[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True)
-        self.pattern = regex.compile(pattern)
         size = max(ranks.values()) + 1
         self.token_bytes = [b""] * size
         for r in ranks.values():
             self.token_bytes[r] = bytes(self.to_byte[c] for c in self.model.id_to_token(r))
         self.lengths = np.array([len(b) for b in self.token_bytes], dtype=np.int64)
-        self.pieces: dict[str, bytes] = {}
-        self.chunks = ChunkEncoder(self._encode_many)
-
-    def _piece(self, piece: str) -> bytes:
-        mapped = piece.encode("utf-8").decode("latin-1").translate(self.to_char)
-        return np.array([t.id for t in self.model.tokenize(mapped)], dtype="<u4").tobytes()
-
-    def _encode_many(self, texts: list[str]) -> list[bytes]:
-        split = [self.pattern.findall(t) for t in texts]
-        if len(self.pieces) > 600_000:
-            self.pieces.clear()
-        for p in set().union(*split) - self.pieces.keys():
-            self.pieces[p] = self._piece(p)
-        known = self.pieces.__getitem__
-        return [b"".join(map(known, s)) for s in split]
+        self.chunks = ChunkEncoder(self.model, pattern, "I")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -103,7 +80,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks_path, pattern)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             ids = c.encode(strings(b.column("text")))
             cols = [b.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
             names = ["doc_id", "ids", "n_tokens"]
@@ -123,7 +100,7 @@ def decode(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks_path, pattern)
-        for b in slices(batches, "ids"):
+        for b in slices(batches, "ids", SLICE):
             data = [c.decode(np.frombuffer(x or b"", "<u4")) for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(data, pa.binary())], [*names, "decoded"])
 

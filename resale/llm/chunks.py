@@ -1,53 +1,99 @@
-"""Encode whole texts through a bounded cache of chunks.
+"""Byte-level BPE of whole texts through bounded caches of chunks and pieces.
 
-A byte-level BPE splits a text before it merges.  Both split patterns used
-here begin a new match at every blank that a non-blank follows, so a text cut
-at those blanks encodes to the same ids piece by piece; a chunk that starts
+A byte-level BPE splits a text by a pattern before it merges.  The pattern
+used here begins a new match at every blank that a non-blank follows, so a text
+cut at those blanks encodes to the same ids chunk by chunk; a chunk that starts
 with white space is joined to the one before it.  Corpora repeat their words,
-so most chunks come from the cache and only new ones reach the tokenizer.
+so most chunks come from the cache, and of the others most pieces (matches of
+the pattern) do; only new pieces reach the tokenizer.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable
 
+import regex
+
+MAX_ENTRIES = 300_000
 LONG = 64
+#: Marks that are a piece of their own after letters.
+MARKS = frozenset(".,;:!?|")
+
+
+def byte_table() -> list[str]:
+    """Character of each byte: printable Latin-1 characters stand for themselves, the others follow from U+0100 on."""
+    shown = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
+    out, spare = [], 256
+    for b in range(256):
+        out.append(chr(b) if b in shown else chr(spare))
+        spare += b not in shown
+    return out
+
+
+class _Cache(dict):
+    """Values made on demand; long keys are not kept."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        if len(key) <= LONG:
+            self[key] = value
+        return value
+
+    def trim(self) -> None:
+        if len(self) > MAX_ENTRIES:
+            self.clear()
 
 
 class ChunkEncoder:
-    """``encode_many`` maps strings to the bytes of their ids; at most ``max_entries`` chunks stay in memory."""
+    """Id bytes of texts, from a ``tokenizers`` BPE model over byte characters and a split pattern."""
+
+    def __init__(self, model, pattern: str, typecode: str):
+        self.model, self.pattern, self.typecode = model, regex.compile(pattern), typecode
+        self.to_char = dict(enumerate(byte_table()))
+        self.pieces = _Cache(self._piece)
+        self.chunks = _Cache(self._chunk)  # of chunks that follow a blank, keyed without it
+
+    def _piece(self, piece: str) -> bytes:
+        if piece.isascii() and piece[1:].isalpha():
+            shown = self.to_char[ord(piece[0])] + piece[1:]
+        else:
+            shown = piece.encode("utf-8").decode("latin-1").translate(self.to_char)
+        return array(self.typecode, [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _text(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], max_entries: int = 600_000):
-        self.encode_many, self.max_entries = encode_many, max_entries
-        self.inner: dict[str, bytes] = {}  # of chunks that follow a blank, keyed without it
+    def _chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha():  # the whole chunk is one piece
+            return self.pieces[f" {chunk}"]
+        if chunk[-1:] in MARKS and chunk[:-1].isalpha():
+            return self.pieces[f" {chunk[:-1]}"] + self.pieces[chunk[-1]]
+        if not chunk or chunk[0].isspace():
+            raise KeyError(chunk)
+        return self._text(f" {chunk}")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [t.split(" ") for t in texts]
-        heads = self.encode_many([p[0] for p in parts])
-        rest = [p[1:] for p in parts]
-        new = [c for c in set().union(*rest) - self.inner.keys() if c and not c[0].isspace()]
-        known = self.inner
-        known.update(zip(new, self.encode_many([f" {c}" for c in new])))
         out = []
-        for text, head, chunks in zip(texts, heads, rest):
+        for text in texts:
+            head, *rest = text.split(" ")
             try:
-                out.append(head + b"".join(map(known.__getitem__, chunks)))
+                out.append(self._text(head) + b"".join(map(self.chunks.__getitem__, rest)))
             except KeyError:  # white space runs
-                out.append(self._joined(text.split(" ")))
-        for c in new:
-            if len(c) > LONG:
-                del known[c]
-        if len(known) > self.max_entries:
-            known.clear()
+                out.append(self._joined(head, rest))
+            self.pieces.trim()
+            self.chunks.trim()
         return out
 
-    def _joined(self, parts: list[str]) -> bytes:
-        merged = [parts[0]]
-        for c in parts[1:]:
+    def _joined(self, head: str, rest: list[str]) -> bytes:
+        merged = [head]
+        for c in rest:
             if c and not c[0].isspace():
                 merged.append(f" {c}")
             else:
                 merged[-1] += f" {c}"
-        todo = [c for c in merged if c[:1] != " " or c[1:] not in self.inner]
-        fresh = dict(zip(todo, self.encode_many(todo)))
-        return b"".join(fresh[c] if c in fresh else self.inner[c[1:]] for c in merged)
+        return self._text(merged[0]) + b"".join([self._text(c) if c[1:2].isspace() or len(c) > LONG or " " in c[1:] else self.chunks[c[1:]] for c in merged[1:]])

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from resale.llm import bpe, token_store
+from resale.llm import blob_ledger, bpe, chat, language, repetition, token_store
 from resale.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,54 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_back(docs.select("doc_id"), runs, uri, buckets)
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Format every conversation, and one made of control strings, and read the output back."""
+    tricky = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], chat.TURN_SCHEMA)
+    turns = chat.turns_of_table(table(spark, sf_dir, "conversations"), columns=["conv_id", "turn", "role", "text"])
+    return chat.digests(chat.format_turns(turns.unionByName(extra)))
+
+
+def _escapes(c: str) -> str:
+    rests = [f"\\{x}\\\\*(?:{'|'.join(chat._quoted(r) for r in rs)})" for x, rs in chat.CONTROL.items()]
+    return f"len(regexp_extract_all({c}, '{'|'.join(rests)}'))"
+
+
+OP2_SQL = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY turn NULLS FIRST, r, x)) AS turns_sha256,
+  CAST(coalesce(sum(length(x)) FILTER (r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(x, '' ORDER BY turn NULLS FIRST, r, x) FILTER (r = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({len(chat.TURN + chat.TEXT + chat.END)} + length(r) + length(x) + {_escapes('r')} + {_escapes('x')}) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; rows whose crc32(doc_id) mod 4 is 2 are held out of the training."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = language.fit(docs.where(~held_out))
+    return language.predict(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition counts, coverage and verdict of every document."""
+    return repetition.score(table(spark, sf_dir, "documents"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan every document through a new ledger and join the findings back to all documents."""
+    ledger = blob_ledger.Ledger(spark, scratch(spark, "ledger"))
+    run = ledger.update(table(spark, sf_dir, "documents"))
+    return blob_ledger.digests(ledger.results(run))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the rank file, and the bytes decoded from them."""
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -29,6 +78,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_store": op1_token_store,
+    "op2_chat_format": op2_chat_format,
+    "op3_language_id": op3_language_id,
+    "op7_repetition": op7_repetition,
+    "op9_secret_scan": op9_secret_scan,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_chat_format": OP2_SQL}

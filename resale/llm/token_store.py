@@ -22,6 +22,7 @@ writes no shard.  Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 import zlib
@@ -43,6 +44,10 @@ from resale.llm.common import keyed, slices, splitmix, strings, written
 
 MAGIC = b"IDSHARD1"
 INDEX_MAGIC = b"IDINDEX1"
+#: Split pattern of the library's byte-level pre-tokenizer (fixed value).
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Bytes of text encoded at once.
+SLICE = 4 << 20
 KEYS_PER_BUCKET = 100_000
 GAMMA = 2.0
 SLOT = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("n_tokens", "<u8"), ("copies", "<u4"), ("parts", "<u4")])
@@ -50,21 +55,30 @@ RUN_SCHEMA = "doc_id long, shard long, offset long, n_tokens long, copies long,
 
 
 class IdEncoder:
-    """A ``tokenizers`` tokenizer giving the id bytes of whole texts in the width of its vocabulary."""
+    """A ``tokenizers`` tokenizer giving the id bytes of whole texts in the width of its vocabulary.
+
+    A plain byte-level BPE (no normalizer, no prefix blank) goes through the
+    chunk cache; any other tokenizer encodes every text by itself.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.chunks = ChunkEncoder(self._many)
+        narrow = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.dtype = np.dtype("<u2") if narrow else np.dtype("<u4")
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        plain = not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+        plain = plain and model.get("type", "BPE") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+        self.chunks = ChunkEncoder(self.tokenizer.model, BYTE_LEVEL_PATTERN, "H" if narrow else "I") if plain else None
 
-    def _many(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if self.chunks:
+            return self.chunks.encode(texts)
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return self.chunks.encode(texts)
-
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> IdEncoder:
@@ -98,7 +112,7 @@ def write_shards(df: DataFrame, uri: str, tokenizer_path: str, end_id: int, id_c
 
         def body(out) -> None:
             out.write(MAGIC + struct.pack("<I", width))
-            for b in slices(batches, "text"):
+            for b in slices(batches, "text", SLICE):
                 ids = [x + end for x in enc.encode(strings(b.column("text")))]
                 out.write(b"".join(ids))
                 k = b.column("doc_id")

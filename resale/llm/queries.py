@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resale.llm import blob_ledger, bpe, chat, language, repetition, token_store
+from resale.llm import blob_ledger, bpe, chat, language, near_dup, repetition, token_store
 from resale.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,32 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets overlap by 80 percent or more."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
+OP4_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 2), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3]) END) AS g
+  FROM w
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT x AS doc_id, x AS reached FROM e UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reached),
+m AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.component_id, d.doc_id) AS component_id, coalesce(m.component_id, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+
 def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition counts, coverage and verdict of every document."""
     return repetition.score(table(spark, sf_dir, "documents"))
@@ -80,8 +106,9 @@ QUERIES: dict[str, Query] = {
     "op1_token_store": op1_token_store,
     "op2_chat_format": op2_chat_format,
     "op3_language_id": op3_language_id,
+    "op4_minhash": op4_minhash,
     "op7_repetition": op7_repetition,
     "op9_secret_scan": op9_secret_scan,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLES: dict[str, str] = {"op2_chat_format": OP2_SQL}
+ORACLES: dict[str, str] = {"op2_chat_format": OP2_SQL, "op4_minhash": OP4_SQL}

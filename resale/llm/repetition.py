@@ -90,9 +90,8 @@ def _again(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def measure(data: np.ndarray, bounds: np.ndarray, lengths: tuple[int, ...] = tuple(LIMITS)) -> dict[str, np.ndarray]:
-    """Counts per text; ``data`` holds the UTF-8 bytes of all texts, text i lies at ``bounds[i]:bounds[i + 1]``."""
-    n = len(bounds) - 1
+def word_ranges(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte ranges of all words, and the number of the first word of each text (one more at the end)."""
     padded = np.r_[True, _SPACE[data], True]
     cuts = bounds[1:-1]
     edge = padded[:-1] != padded[1:]
@@ -103,9 +102,16 @@ def measure(data: np.ndarray, bounds: np.ndarray, lengths: tuple[int, ...] = tup
     starts[glued] = True
     stops[glued] = True
     begins, ends = np.flatnonzero(starts), np.flatnonzero(stops)
+    return begins, ends, np.searchsorted(begins, bounds)
+
+
+def measure(data: np.ndarray, bounds: np.ndarray, lengths: tuple[int, ...] = tuple(LIMITS)) -> dict[str, np.ndarray]:
+    """Counts per text; ``data`` holds the UTF-8 bytes of all texts, text i lies at ``bounds[i]:bounds[i + 1]``."""
+    n = len(bounds) - 1
+    begins, ends, first = word_ranges(data, bounds)
     lead = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
     chars = lead[ends] - lead[begins]  # code points of each word
-    doc = np.searchsorted(bounds, begins, side="right") - 1
+    doc = np.repeat(np.arange(n), np.diff(first))
     hashed = ByteHash(data)
     words = hashed.of(begins, ends)
     out = {"n_words": np.bincount(doc, minlength=n), "word_chars": np.bincount(doc, chars, n).astype(np.int64)}

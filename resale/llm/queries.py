@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resale.llm import blob_ledger, bpe, chat, language, near_dup, repetition, token_store
+from resale.llm import blob_ledger, bpe, chat, decontaminate, language, near_dup, repetition, token_store
 from resale.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,31 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that each document holds."""
+    return decontaminate.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_OP5_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+OP5_SQL = f"""
+WITH d AS (SELECT doc_id, {_OP5_WORDS} AS ws FROM documents),
+b AS (SELECT item_id, {_OP5_WORDS} AS ws FROM benchmark),
+ds AS (SELECT doc_id, len(ws) AS n, unnest(range(0, greatest(len(ws) - 4, 0))) AS p, unnest(list_transform(range(1, greatest(len(ws) - 3, 1)), lambda i: array_to_string(ws[i:i + 4], ' '))) AS g FROM d),
+bs AS (SELECT item_id, len(ws) AS w, unnest(range(0, greatest(len(ws) - 4, 0))) AS q, unnest(list_transform(range(1, greatest(len(ws) - 3, 1)), lambda i: array_to_string(ws[i:i + 4], ' '))) AS g FROM b),
+a AS (SELECT DISTINCT doc_id, n, item_id, w, p FROM ds JOIN bs USING (g)),
+v AS (SELECT DISTINCT doc_id, item_id, w, greatest(0, least(s, greatest(n - w, 0))) AS s
+  FROM (SELECT doc_id, n, item_id, w, unnest(range(p - w + 5, p + 1)) AS s FROM a)),
+wc AS (SELECT v.doc_id, v.item_id, v.s, ds.g, count(*) AS c FROM v JOIN ds ON ds.doc_id = v.doc_id AND ds.p >= v.s AND ds.p <= v.s + v.w - 5 GROUP BY ALL),
+wt AS (SELECT doc_id, item_id, s, sum(c) AS t FROM wc GROUP BY ALL),
+bc AS (SELECT item_id, g, count(*) AS c FROM bs GROUP BY ALL),
+bt AS (SELECT item_id, sum(c) AS t FROM bc GROUP BY ALL),
+m AS (SELECT doc_id, item_id, s, sum(least(wc.c, bc.c)) AS x FROM wc JOIN bc USING (item_id, g) GROUP BY ALL),
+h AS (SELECT DISTINCT doc_id, item_id FROM m JOIN wt USING (doc_id, item_id, s) JOIN bt USING (item_id) WHERE 100 * x >= 80 * (wt.t + bt.t - x)),
+r AS (SELECT doc_id, count(*) AS k, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS ids FROM h GROUP BY doc_id)
+SELECT documents.doc_id, coalesce(k, 0) AS n_items, coalesce(ids, '') AS item_ids, k IS NULL AS kept FROM documents LEFT JOIN r USING (doc_id)
+"""
+
+
 def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition counts, coverage and verdict of every document."""
     return repetition.score(table(spark, sf_dir, "documents"))
@@ -107,8 +132,9 @@ QUERIES: dict[str, Query] = {
     "op2_chat_format": op2_chat_format,
     "op3_language_id": op3_language_id,
     "op4_minhash": op4_minhash,
+    "op5_decontaminate": op5_decontaminate,
     "op7_repetition": op7_repetition,
     "op9_secret_scan": op9_secret_scan,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLES: dict[str, str] = {"op2_chat_format": OP2_SQL, "op4_minhash": OP4_SQL}
+ORACLES: dict[str, str] = {"op2_chat_format": OP2_SQL, "op4_minhash": OP4_SQL, "op5_decontaminate": OP5_SQL}

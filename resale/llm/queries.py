@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resale.llm import blob_ledger, bpe, chat, decontaminate, language, near_dup, repetition, token_store
+from resale.llm import blob_ledger, bpe, chat, decontaminate, html_extract, language, near_dup, repetition, token_store, toxicity
 from resale.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,11 +110,26 @@ SELECT documents.doc_id, coalesce(k, 0) AS n_items, coalesce(ids, '') AS item_id
 """
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.main_text(pages, html_extract.fit(pages))
+
+
 def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition counts, coverage and verdict of every document."""
     return repetition.score(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; rows whose crc32(doc_id) mod 5 is 0 are held out of the training."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scan every document through a new ledger and join the findings back to all documents."""
     ledger = blob_ledger.Ledger(spark, scratch(spark, "ledger"))
@@ -133,7 +148,9 @@ QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op4_minhash": op4_minhash,
     "op5_decontaminate": op5_decontaminate,
+    "op6_html_extract": op6_html_extract,
     "op7_repetition": op7_repetition,
+    "op8_toxicity": op8_toxicity,
     "op9_secret_scan": op9_secret_scan,
     "op10_byte_bpe": op10_byte_bpe,
 }

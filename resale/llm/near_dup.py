@@ -43,7 +43,7 @@ K = 64
 #: Percent of shared shingles among all shingles of two texts that makes a link.
 PERCENT = 80
 #: Documents and shingles that one block may hold.
-BLOCK_DOCS, BLOCK_SHINGLES = 1024, 4_000_000
+BLOCK_DOCS, BLOCK_SHINGLES = 512, 2_000_000
 NULL_ID = -(2**63)
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -119,7 +119,7 @@ def candidate_groups(feats: DataFrame, percent: int) -> DataFrame:
     centers = lists.groupBy("value").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("last")).where("center != last")
     edges = lists.join(centers, "value").where("doc_id != center").select("doc_id", "center").distinct()
     found = components(edges, "doc_id", "center").select(F.col("node").alias("doc_id"), F.col("component").alias("grp"))
-    return lists.select("doc_id", "n").distinct().join(found, "doc_id")
+    return feats.select("doc_id", "n").join(found, "doc_id")
 
 
 class _Forest:
@@ -241,10 +241,11 @@ def links_in_groups(docs: DataFrame, groups: DataFrame, size: int, percent: int)
 def near_duplicates(df: DataFrame, size: int = 5, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``df``."""
     feats = features(df, size, id_col, text_col)
-    classes = written(feats.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep")), "classes")
-    same = (F.col("f.sig") == F.col("c.sig")) & (F.col("f.doc_id") == F.col("c.rep"))
-    reps = feats.alias("f").join(classes.alias("c"), same).select("f.doc_id", "f.n", "f.sketch").distinct()
-    groups = candidate_groups(reps, percent)
+    # one row per class, combined before the shuffle: the smallest id with the set's sketch
+    reps = feats.where("n > 0").groupBy("sig").agg(F.min(F.struct("doc_id", "n", "sketch")).alias("r"))
+    reps = written(reps.select("sig", "r.doc_id", "r.n", "r.sketch"), "classes")
+    classes = reps.select("sig", F.col("doc_id").alias("rep"))
+    groups = candidate_groups(reps.drop("sig"), percent)
     rows = keyed(df, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)))
     links = links_in_groups(rows, groups, size, percent)
     # rows with one id and several sets are one document

@@ -154,6 +154,8 @@ WORST_ROWS = 100
 
 # --- fixed values: tuning ---
 OVERFIT_GAP_OK = 500.0
+# Centres of the sums of squares that batches write (any value near the data will do).
+SUM_CENTER_EURO, SUM_CENTER_LOG = 20_000.0, 10.0
 PATIENCE = 5
 MIN_IMPROVEMENT = 10.0
 FOREST_PARAMS = dict(

@@ -1,8 +1,8 @@
 """Exploratory statistics (A-01 ... A-16).
 
 Per-column statistics are one wide aggregate (every column in one pass)
-reshaped to long rows.  Quantiles are exact ``percentile`` by default (see
-:mod:`resale.operators.params` for the approximate switch).  Histograms use
+reshaped to long rows.  Quantiles are exact and bounded
+(:mod:`resale.operators.quantiles`).  Histograms use
 equal-width bins from a broadcast 1-row min/max frame, so the bin of a row
 is a row-local expression and the counting is an ordinary grouped
 aggregate.
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from resale.functions import constants as K
 from resale.functions.exprs import adjusted_skewness
 from resale.functions.stats import f_sf, normal_quantiles
+from resale.operators import quantiles
 
 
 def per_column(df: DataFrame, columns: list[str], stats: dict[str, Callable[[Column], Column]]) -> DataFrame:
@@ -31,27 +32,11 @@ def per_column(df: DataFrame, columns: list[str], stats: dict[str, Callable[[Col
     ])))
 
 
-def q(p: float) -> Callable[[Column], Column]:
-    return lambda c: F.percentile(c, F.lit(p)).cast("double")
-
-
-PROFILE = {
-    "n": lambda c: F.count(c), "mean": F.avg, "median": q(0.5), "std": F.stddev_samp, "min": F.min, "max": F.max,
-    "q1": q(0.25), "q3": q(0.75),
-}
-
-
-def quartiles_array(c: Column) -> Column:
-    """Exact quartiles as one ``percentile`` call over an array of levels (one value map, not three)."""
-    return F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-
-
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """A-01: distribution profile with IQR."""
-    stats = {"n": lambda c: F.count(c), "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "_q": quartiles_array}
-    s = per_column(df, columns, stats)
-    q1, med, q3 = (F.col("_q")[i] for i in range(3))
-    return s.select("column_name", "n", "mean", med.alias("median"), "std", "min", "max", q1.alias("q1"), q3.alias("q3"), (q3 - q1).alias("iqr"))
+    stats = {"n": lambda c: F.count(c), "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    s = per_column(df, columns, stats).join(quantiles.quartiles(df, columns), "column_name", "left")
+    return s.select("column_name", "n", "mean", "median", "std", "min", "max", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"))
 
 
 def skewness(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -61,7 +46,8 @@ def skewness(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def shape(df: DataFrame, columns: list[str]) -> DataFrame:
     """A-03: mean/median ratio verdict and |skew| < 1."""
-    s = per_column(df, columns, {"mean": F.avg, "median": q(0.5), "skewness": adjusted_skewness})
+    s = per_column(df, columns, {"mean": F.avg, "skewness": adjusted_skewness})
+    s = s.join(quantiles.quartiles(df, columns).select("column_name", "median"), "column_name", "left")
     ratio = F.try_divide(F.col("mean"), F.col("median"))
     verdict = F.when(ratio > K.SHAPE_RIGHT, "right_skewed").when(ratio < K.SHAPE_LEFT, "left_skewed").otherwise("balanced")
     return s.select("column_name", ratio.alias("mean_median_ratio"), verdict.alias("shape"), (F.abs("skewness") < 1).alias("near_symmetric"))
@@ -69,7 +55,7 @@ def shape(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def fences(df: DataFrame, col: str) -> DataFrame:
     """1-row frame: quartiles and the 1.5·IQR fences of ``col``."""
-    s = df.agg(F.percentile(col, F.array(F.lit(0.25), F.lit(0.75))).alias("_q")).select(F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
+    s = quantiles.wide(df, {"q1": (col, 0.25), "q3": (col, 0.75)})
     iqr = F.col("q3") - F.col("q1")
     return s.select("q1", "q3", (F.col("q1") - K.IQR_K * iqr).alias("lower_fence"), (F.col("q3") + K.IQR_K * iqr).alias("upper_fence"))
 
@@ -168,16 +154,14 @@ def qq_points(df: DataFrame, col: str, n_points: int = 99) -> DataFrame:
     """A-11: sample quantiles on a fixed probability grid against standard-normal quantiles."""
     probs = [(i + 1) / (n_points + 1) for i in range(n_points)]
     theo = normal_quantiles(probs)
-    s = df.agg(F.percentile(F.col(col).cast("double"), F.array(*[F.lit(p) for p in probs])).alias("_q"))
-    return s.select(F.inline(F.arrays_zip(
-        F.array(*[F.lit(p) for p in probs]).alias("p"), F.array(*[F.lit(t) for t in theo]).alias("theoretical"), F.col("_q").alias("sample")
-    )))
+    grid = df.sparkSession.createDataFrame([(f"p{i}", p, t) for i, (p, t) in enumerate(zip(probs, theo))], "name string, p double, theoretical double")
+    found = quantiles.long(df, {f"p{i}": (col, p) for i, p in enumerate(probs)})
+    return found.join(F.broadcast(grid), "name").select("p", "theoretical", F.col("value").alias("sample"))  # one row per level
 
 
 def box_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     """A-12: five numbers (whiskers inside the fences) and outlier count per column."""
-    quart = per_column(df, columns, {"_q": quartiles_array})
-    quart = quart.select("column_name", *[F.col("_q")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])])
+    quart = quantiles.quartiles(df, columns)
     iqr = F.col("q3") - F.col("q1")
     quart = quart.withColumns({"lo_f": F.col("q1") - K.IQR_K * iqr, "hi_f": F.col("q3") + K.IQR_K * iqr})
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns])))
@@ -232,5 +216,9 @@ def anova_pvalue(an: DataFrame) -> DataFrame:
 
 def category_quartiles(df: DataFrame, cats: list[str], target: str = "price") -> DataFrame:
     """A-16: quartiles of the target per category value."""
-    g = long_categories(df, cats, target).groupBy("feature", "value").agg(quartiles_array(F.col("_y")).alias("_q"), F.count(F.lit(1)).alias("n"))
-    return g.select("feature", "value", *[F.col("_q")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])], "n")
+    rows = long_categories(df, cats, target)
+    n = rows.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.withColumnRenamed("value", "category")
+    q = quantiles.wide(rows, {"q1": ("_y", 0.25), "median": ("_y", 0.5), "q3": ("_y", 0.75)}, ["feature", "category"])
+    q = q.withColumnRenamed("category", "value")
+    return n.join(q, ["feature", "value"], "left").select("feature", "value", "q1", "median", "q3", "n")

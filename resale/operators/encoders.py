@@ -7,9 +7,9 @@ partial row per task).  The same pass counts each category per split, which
 gives the per-split fill value for unseen categories without a second pass
 or a window over the split column.
 
-Lookups join the small fitted table back.  Its row count is checked first;
-within the bound the join is broadcast, beyond it a regular shuffle join
-(with AQE skew splitting) is used.
+Lookups join the fitted table back without a hint: Catalyst and AQE broadcast
+it when its bytes allow that, and use a shuffle join with skew splitting
+otherwise.
 """
 
 from __future__ import annotations
@@ -18,13 +18,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from resale.functions import constants as K
-from resale.session import BROADCAST_MAX_ROWS
-
-
-def bounded(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only for a side whose row count is checked to be small."""
-    n = dim.count()
-    return F.broadcast(dim) if n <= max_rows else dim
 
 
 def long_categories(df: DataFrame, pairs=K.TARGET_ENCODED, extra: list[str] | None = None) -> DataFrame:
@@ -87,7 +80,6 @@ def apply_target_encoding(df: DataFrame, fit: DataFrame, fill: DataFrame, by_spl
     ``fit`` and ``fill`` are small fitted tables (categories x 3, splits x 3).
     """
     enc = fit.where(F.col("encoded").isNotNull()).select("feature", "category", "encoded")
-    enc = bounded(enc)
     out = df
     for name, col in K.TARGET_ENCODED:
         e = enc.where(F.col("feature") == name).select(F.col("category").alias(f"_{name}_cat"), F.col("encoded").alias(f"_{name}_enc"))
@@ -117,10 +109,9 @@ def fit_label_encoder(train: DataFrame, columns: list[str]) -> DataFrame:
 
 def apply_label_encoder(df: DataFrame, codes: DataFrame, columns: list[str]) -> DataFrame:
     """E-06: lookup; unseen text -> -1."""
-    small = bounded(codes)
     out = df
     for c in columns:
-        e = small.where(F.col("feature") == c).select(F.col("category").alias(f"_{c}_cat"), F.col("code").alias(f"_{c}_code"))
+        e = codes.where(F.col("feature") == c).select(F.col("category").alias(f"_{c}_cat"), F.col("code").alias(f"_{c}_code"))
         key = F.coalesce(out[c].cast("string"), F.lit("nan"))
         out = out.join(e, key == e[f"_{c}_cat"], "left").withColumn(f"{c}_code", F.coalesce(F.col(f"_{c}_code"), F.lit(-1).cast("long"))).drop(f"_{c}_cat", f"_{c}_code")
     return out

@@ -81,6 +81,44 @@ def all_metrics(
     )
 
 
+def metric_sums(df: DataFrame, group: list[str], actual_log: str = "price_log", predicted_log: str = "predicted_log") -> DataFrame:
+    """Sums of which every metric of M-08 and M-10 is a function; sums of parts add up to the sums of the whole.
+
+    Sums of squares are taken around fixed values near the data (``K.SUM_CENTER_LOG``,
+    ``K.SUM_CENTER_EURO``), so that the variance does not lose its digits.
+    """
+    a, p, al, pl = F.col("actual_euro"), F.col("predicted_euro"), F.col(actual_log), F.col(predicted_log)
+    e = ape(a, p)
+    tail = F.coalesce(e > K.TAIL_APE, F.lit(False))
+    ca, cl = a - K.SUM_CENTER_EURO, al - K.SUM_CENTER_LOG
+    return df.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.abs(a - p)).alias("s_abs"), F.sum(F.pow(a - p, 2)).alias("s_sq"),
+        F.sum(F.pow(al - pl, 2)).alias("s_sq_log"), F.sum(ca).alias("s_a"), F.sum(ca * ca).alias("s_aa"), F.sum(cl).alias("s_l"), F.sum(cl * cl).alias("s_ll"),
+        F.count(e).alias("n_ape"), F.sum(e).alias("s_ape"), F.count(F.when(tail, 1)).alias("tail_samples"), F.sum(F.when(tail, e)).alias("s_tail"),
+        F.count(F.when(p < a * K.UNDER_PRICED_RATIO, 1)).alias("under_priced"), F.count(F.when(p > a * K.OVER_PRICED_RATIO, 1)).alias("over_priced"),
+    )
+
+
+def from_sums(sums: DataFrame, group: list[str]) -> DataFrame:
+    """M-08 and M-10 per group from any number of partial :func:`metric_sums` rows."""
+    parts = [c for c in sums.columns if c not in group]
+    t = sums.select(*group, *parts).groupBy(*group).agg(*[F.sum(c).alias(c) for c in parts if c not in ("batch_id",)])
+    n = F.col("n")
+
+    def r2_of(ss_res: str, total: str, squares: str) -> Column:
+        ss_tot = F.col(squares) - F.col(total) * F.col(total) / n
+        return F.when(ss_tot > 0, 1 - F.col(ss_res) / ss_tot)
+
+    under, over = F.col("under_priced") * K.UNDER_PRICED_COST, F.col("over_priced") * (K.OVER_PRICED_DAYS * K.OVER_PRICED_COST_PER_DAY)
+    return t.select(
+        *group, (F.col("s_abs") / n).alias("mae"), F.sqrt(F.col("s_sq") / n).alias("rmse"),
+        r2_of("s_sq_log", "s_l", "s_ll").alias("r2"), r2_of("s_sq", "s_a", "s_aa").alias("r2_price"),
+        F.try_divide("s_ape", "n_ape").alias("mape"), (F.col("tail_samples") / n * 100).alias("tail_rate"),
+        F.coalesce(F.try_divide("s_tail", "tail_samples"), F.lit(0.0)).alias("tc_ape"), n.alias("total_samples"), "tail_samples",
+        "under_priced", "over_priced", under.cast("double").alias("under_cost"), over.cast("double").alias("over_cost"), (under + over).cast("double").alias("total_cost"),
+    )
+
+
 def targets_met(metrics: DataFrame, keys: list[str]) -> DataFrame:
     """M-09: the six strict business-target checks and the all-met flag."""
     ops = {"<": lambda c, v: c < v, ">": lambda c, v: c > v}

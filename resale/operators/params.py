@@ -1,59 +1,27 @@
 """Learned processing parameters (E-04).
 
-All parameters are one global aggregate over the train rows: a 1-row frame,
-joined back by broadcast (the 1-row bound is proven by construction).
-
-Quantiles are exact by default (``percentile``, linear interpolation, the
-same numbers as pandas and DuckDB ``quantile_cont``).  Spark merges exact
-percentile buffers as value->count maps, so the state grows with the number
-of distinct values; for very large inputs set
-``spark.resale.quantiles=approx`` to use the bounded-memory sketch
-(``percentile_approx``, accuracy ``spark.resale.quantileAccuracy``).
+All parameters are exact quantiles of the train rows
+(:mod:`resale.operators.quantiles`): a 1-row frame, joined back by broadcast
+(the 1-row bound is proven by construction).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from resale.functions import constants as K
+from resale.operators import quantiles
 
 PARAM_COLUMNS = ["mileage_cap", "price_floor", "price_cap", "median_mileage", "median_engine_power", "median_age"]
 
 
-def quantile(spark: SparkSession, col: str | Column, q: float) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    mode = spark.conf.get("spark.resale.quantiles", "exact")
-    if mode == "approx":
-        acc = int(spark.conf.get("spark.resale.quantileAccuracy", "100000"))
-        return F.percentile_approx(c.cast("double"), q, acc).cast("double")
-    return F.percentile(c, F.lit(q)).cast("double")
-
-
-def quantiles(spark: SparkSession, col: str | Column, qs: list[float]) -> Column:
-    """Several levels of one column in one aggregate (one value map / one sketch per column)."""
-    c = F.col(col) if isinstance(col, str) else col
-    levels = F.array(*[F.lit(q) for q in qs])
-    if spark.conf.get("spark.resale.quantiles", "exact") == "approx":
-        acc = int(spark.conf.get("spark.resale.quantileAccuracy", "100000"))
-        return F.percentile_approx(c.cast("double"), levels, acc)
-    return F.percentile(c, levels)
-
-
 def learn(train: DataFrame) -> DataFrame:
     """1-row frame of winsor caps and imputation medians, from train rows only."""
-    spark = train.sparkSession
-    s = train.agg(
-        quantiles(spark, "mileage", [K.MILEAGE_CAP_Q, 0.5]).alias("_m"),
-        quantiles(spark, "price", [K.PRICE_FLOOR_Q, K.PRICE_CAP_Q]).alias("_p"),
-        quantile(spark, "engine_power", 0.5).alias("median_engine_power"),
-        quantile(spark, "age_raw", 0.5).alias("median_age"),
-    )
-    return s.select(
-        F.col("_m")[0].cast("double").alias("mileage_cap"), F.col("_p")[0].cast("double").alias("price_floor"),
-        F.col("_p")[1].cast("double").alias("price_cap"), F.col("_m")[1].cast("double").alias("median_mileage"),
-        "median_engine_power", "median_age",
-    )
+    return quantiles.wide(train, {
+        "mileage_cap": ("mileage", K.MILEAGE_CAP_Q), "price_floor": ("price", K.PRICE_FLOOR_Q), "price_cap": ("price", K.PRICE_CAP_Q),
+        "median_mileage": ("mileage", 0.5), "median_engine_power": ("engine_power", 0.5), "median_age": ("age_raw", 0.5),
+    })
 
 
 def attach(df: DataFrame, params: DataFrame) -> DataFrame:

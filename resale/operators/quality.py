@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from resale.functions import constants as K
+from resale.operators import quantiles
 from resale.functions.exprs import adjusted_skewness, parse_date
 
 
@@ -134,17 +135,17 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
         x = F.col(c).cast("double")
         aggs += [
             F.count(c).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-            F.min(x).alias(f"{c}__min"), F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q"),
+            F.min(x).alias(f"{c}__min"),
             F.max(x).alias(f"{c}__max"),
         ]
     wide = df.agg(*aggs)
-    wide = wide.withColumns({f"{c}__p{p}": F.col(f"{c}__q")[i] for c in columns for i, p in enumerate((25, 50, 75))})
-    stats = ["n", "mean", "std", "min", "p25", "p50", "p75", "max"]
+    stats = ["n", "mean", "std", "min", "max"]
     rows = F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{s}").cast("double" if s != "n" else "long").alias(s) for s in stats])
         for c in columns
     ]))
-    return wide.select(rows)
+    q = quantiles.quartiles(df, columns).select("column_name", F.col("q1").alias("p25"), F.col("median").alias("p50"), F.col("q3").alias("p75"))
+    return wide.select(rows).join(q, "column_name", "left")
 
 
 def named_stats(df: DataFrame) -> DataFrame:
@@ -193,12 +194,13 @@ def before_after(raw: DataFrame, clean: DataFrame, params: DataFrame) -> DataFra
 
     def prof(df, stage, log_col, at_cap):
         d = df.crossJoin(cap)
+        median = quantiles.wide(df, {"price_median": ("price", 0.5)})
         return d.agg(
             F.lit(stage).alias("stage"), F.count(F.lit(1)).alias("n_rows"), F.avg("price").alias("price_mean"),
-            F.percentile("price", F.lit(0.5)).alias("price_median"), F.stddev_samp("price").alias("price_std"),
+            F.stddev_samp("price").alias("price_std"),
             adjusted_skewness(F.col("price")).alias("price_skew"), adjusted_skewness(log_col).alias("log_price_skew"),
             F.count(F.when(at_cap, 1)).alias("rows_at_cap"),
-        )
+        ).crossJoin(median)  # one row each
 
     a = prof(raw, "raw", F.log1p("price"), F.col("price") > F.col("price_cap"))
     b = prof(clean, "clean", F.col("price_log"), F.col("price") == F.col("price_cap"))

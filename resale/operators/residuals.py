@@ -10,16 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from resale.functions import constants as K
+from resale.operators import quantiles
 
 
 def summary(df: DataFrame) -> DataFrame:
     """R-02: count, actual range, residual mean and population std, median |residual|, mean APE, tail %."""
+    median = quantiles.wide(df, {"abs_residual_median": ("abs_residual_euro", 0.5)})
     return df.agg(
         F.count(F.lit(1)).alias("n"), F.min("actual_euro").alias("actual_min"), F.max("actual_euro").alias("actual_max"),
         F.avg("residual_euro").alias("residual_mean"), F.stddev_pop("residual_euro").alias("residual_std"),
-        F.percentile("abs_residual_euro", F.lit(0.5)).alias("abs_residual_median"), F.avg("ape").alias("ape_mean"),
+        F.avg("ape").alias("ape_mean"),
         (F.avg(F.col("in_tail").cast("double")) * 100).alias("tail_pct"),
-    )
+    ).crossJoin(median)  # one row each
 
 
 def tail_vs_normal(df: DataFrame) -> DataFrame:
@@ -46,11 +48,13 @@ def segment_dim(spark) -> DataFrame:
 
 def segment_stats(df: DataFrame) -> DataFrame:
     """R-05: per segment mean / median / std APE, tail rate (rounded to 2 then x100), count; empty segments kept."""
-    s = df.withColumn("segment", segment_label()).groupBy("segment").agg(
-        F.avg("ape").alias("ape_mean"), F.percentile("ape", F.lit(0.5)).alias("ape_median"), F.stddev_samp("ape").alias("ape_std"),
+    d = df.select(segment_label().alias("segment"), "ape", "in_tail")
+    medians = quantiles.wide(d, {"ape_median": ("ape", 0.5)}, ["segment"])
+    s = d.groupBy("segment").agg(
+        F.avg("ape").alias("ape_mean"), F.stddev_samp("ape").alias("ape_std"),
         F.avg(F.col("in_tail").cast("double")).alias("_tail"), F.count(F.lit(1)).alias("n"))
-    d = F.broadcast(segment_dim(df.sparkSession).select("segment_order", "segment"))  # 4 fixed rows
-    j = d.join(s, "segment", "left")
+    dim = F.broadcast(segment_dim(df.sparkSession).select("segment_order", "segment"))  # 4 fixed rows
+    j = dim.join(s, "segment", "left").join(medians, "segment", "left")
     return j.select(
         "segment_order", "segment",
         F.bround("ape_mean", 2).alias("ape_mean"), F.bround("ape_median", 2).alias("ape_median"), F.bround("ape_std", 2).alias("ape_std"),
@@ -93,7 +97,8 @@ def heteroscedasticity(df: DataFrame) -> DataFrame:
 def recommendations(df: DataFrame) -> DataFrame:
     """R-12: rule rows (heteroscedasticity; worst segment tail > 50; overall tail > 50)."""
     h = heteroscedasticity(df)
-    w = worst_segment(segment_stats(df)).select(F.col("tail_rate").alias("_wt"), F.col("segment").alias("_ws"))
+    per = df.withColumn("segment", segment_label()).where(F.col("segment").isNotNull()).groupBy("segment")
+    w = per.agg((F.avg(F.col("in_tail").cast("double")) * 100).alias("tail")).agg(F.max("tail").alias("_wt"))  # not rounded
     o = df.agg((F.avg(F.col("in_tail").cast("double")) * 100).alias("_ot"))
     j = h.crossJoin(w).crossJoin(o)
     rules = [

@@ -49,7 +49,9 @@ LISTINGS = f"""listings AS (
     l.l_returnflag || l.l_linestatus AS paint_color,
     o.o_orderpriority AS car_type,
     {_FEATURE_BITS},
-    l.l_extendedprice AS price,
+    (CAST(8000 AS DOUBLE) + p.p_size * 700 + (l.l_partkey % 27) * 900)
+      * ((1000 - 45 * (p.p_size % 12)) * (1000 - 8 * l.l_quantity) / CAST(1000000 AS DOUBLE))
+      + (floor(l.l_extendedprice) % 4001 - 2000) AS price,
     CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS sold_at,
     {md5_bucket('l.l_orderkey')} AS bucket
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey

@@ -38,7 +38,7 @@ _MEMO: dict[tuple, str] = {}
 VERSION = "v1"
 
 
-def _materialize(spark: SparkSession, name: str, sf_dir: str, build, partition_by: str | None = None) -> DataFrame:
+def materialize(spark: SparkSession, name: str, sf_dir: str, build, partition_by: str | None = None) -> DataFrame:
     key = (spark.sparkContext.applicationId, name, sf_dir.rstrip("/"))
     with _LOCK:
         path = _MEMO.get(key)
@@ -54,20 +54,20 @@ def _materialize(spark: SparkSession, name: str, sf_dir: str, build, partition_b
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _materialize(
+    return materialize(
         spark, "base", sf_dir, lambda: features.base_features(assign_split(listings(spark, sf_dir))), "data_split"
     )
 
 
 def learned_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _materialize(
+    return materialize(
         spark, "params", sf_dir,
         lambda: params.learn(base(spark, sf_dir).where(F.col("data_split") == "train")).coalesce(1),
     )
 
 
 def encoding_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _materialize(
+    return materialize(
         spark, "encodings", sf_dir, lambda: encoders.fit_target_encoding(base(spark, sf_dir)).coalesce(1)
     )
 
@@ -99,7 +99,7 @@ def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
         d = transform(base(spark, sf_dir), learned_params(spark, sf_dir), fit, encoders.split_fill(fit))
         return d.select(*PROCESSED_COLUMNS)
 
-    return _materialize(spark, "processed", sf_dir, build, "data_split")
+    return materialize(spark, "processed", sf_dir, build, "data_split")
 
 
 def baseline_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +107,7 @@ def baseline_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Coarser grains (series, global) are re-aggregated from this small table.
     """
-    return _materialize(
+    return materialize(
         spark, "baseline", sf_dir,
         lambda: processed(spark, sf_dir)
         .where(F.col("data_split") == "train")
@@ -119,7 +119,7 @@ def baseline_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_rmse(spark: SparkSession, sf_dir: str, model_id: str = K.DEFAULT_MODEL) -> DataFrame:
     """Train RMSE (euro) of a baseline model: 1-row fitted table used by the prediction interval."""
-    return _materialize(
+    return materialize(
         spark, f"rmse-{model_id}", sf_dir,
         lambda: scored(spark, sf_dir, models=[model_id]).where(F.col("data_split") == "train")
         .agg(F.sqrt(F.avg(F.pow("residual_euro", 2))).alias("rmse")).coalesce(1),
@@ -134,7 +134,7 @@ SCORED_COLUMNS = [
 
 def predictions(df: DataFrame, fit: DataFrame) -> DataFrame:
     """Add the three baseline predictions (log scale) as columns."""
-    sf = encoders.bounded(fit.select("series", "fuel", (F.col("sum_log") / F.col("n")).alias("_p_sf")))
+    sf = fit.select("series", "fuel", (F.col("sum_log") / F.col("n")).alias("_p_sf"))
     s = fit.groupBy("series").agg((F.sum("sum_log") / F.sum("n")).alias("_p_s"))
     g = fit.agg((F.sum("sum_log") / F.sum("n")).alias("_p_g"))
     out = (

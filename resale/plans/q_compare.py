@@ -39,10 +39,10 @@ def t15_baseline_fit(spark, sf_dir):
 @query("t09_overfit_gap", f"""{_METRICS_SQL}
 SELECT model_id, {R("max(CASE WHEN data_split = 'train' THEN mae END)", 'train_mae')}, {R("max(CASE WHEN data_split = 'val' THEN mae END)", 'val_mae')},
   {R("max(CASE WHEN data_split = 'val' THEN mae END) - max(CASE WHEN data_split = 'train' THEN mae END)", 'gap')},
-  max(CASE WHEN data_split = 'val' THEN mae END) - max(CASE WHEN data_split = 'train' THEN mae END) < {K.OVERFIT_GAP_OK} AS healthy
+  abs(max(CASE WHEN data_split = 'val' THEN mae END) - max(CASE WHEN data_split = 'train' THEN mae END)) < {K.OVERFIT_GAP_OK} AS healthy
 FROM m GROUP BY model_id""")
 def t09_overfit_gap(spark, sf_dir):
-    """T1-09: validation MAE - train MAE per model; healthy below 500."""
+    """T1-09: validation MAE - train MAE per model; healthy when its absolute value is below 500."""
     return SEL.overfit_gap(metric_rows(spark, sf_dir))
 
 

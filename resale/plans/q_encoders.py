@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from resale.operators import encoders
+from resale.operators import encoders, features
 from resale.plans import prepared as P
 from resale.plans.oracle_base import WITH_BASE, WITH_PARAMS, WITH_PROCESSED
 from resale.plans.registry import query
@@ -12,7 +12,7 @@ from resale.plans.sqlhelp import I, R
 
 KEYS = ["order_key", "line_number", "part_key", "supp_key"]
 KEYS_SQL = "order_key, line_number, part_key, supp_key"
-LABEL_COLUMNS = ["model_key", "fuel", "paint_color", "car_type", "series"]
+LABEL_COLUMNS = features.STRING_FEATURES
 
 
 @query("e01_target_encoding_fit", f"""{WITH_PARAMS}

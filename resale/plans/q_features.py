@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from resale.functions import constants as K
 from resale.operators import features
 from resale.operators.features import drop_infinite
+from resale.operators import quantiles
 from resale.plans import prepared as P
 from resale.plans.oracle_base import WITH_BASE, WITH_PARAMS, WITH_PROCESSED
 from resale.plans.registry import query
@@ -153,9 +154,8 @@ def f23_rare_grouping(spark, sf_dir):
     counts = b.where((F.col("data_split") == "train") & F.col("fuel").isNotNull()).groupBy("fuel").agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_t"))
     share = counts.crossJoin(F.broadcast(total)).select("fuel", (F.col("_n") * 100.0 / F.col("_t")).alias("_share"))
-    from resale.operators.encoders import bounded
-
-    j = b.join(bounded(share), "fuel", "left")
+    
+    j = b.join(share, "fuel", "left")
     grouped = F.when(F.col("_share").isNull() | (F.col("_share") < K.RARE_SHARE_PCT), "other").otherwise(F.col("fuel"))
     return j.select(*KEYS, "fuel", grouped.alias("fuel_grouped"))
 
@@ -172,7 +172,7 @@ def f24_infinite_fill(spark, sf_dir):
     inf = F.when(F.col("mileage") > 0, F.lit(float("inf"))).when(F.col("mileage") < 0, F.lit(float("-inf")))
     ratio = F.when(den == 0, inf).otherwise(F.try_divide(F.col("mileage"), den))
     y = b.withColumn("_clean", drop_infinite(ratio))
-    med = y.where(F.col("data_split") == "train").agg(F.percentile("_clean", F.lit(0.5)).alias("_med"))
+    med = quantiles.wide(y.where(F.col("data_split") == "train"), {"_med": ("_clean", 0.5)})
     return y.crossJoin(F.broadcast(med)).select(*KEYS, F.coalesce("_clean", "_med").alias("mileage_per_power_filled"))
 
 

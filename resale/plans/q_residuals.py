@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from resale.functions import constants as K
+from resale.functions.exprs import hash_bucket
 from resale.operators import residuals as RS
 from resale.plans import prepared as P
-from resale.plans.oracle_base import WITH_SCORED
+from resale.plans.oracle_base import WITH_SCORED, md5_bucket
 from resale.plans.q_eda import histogram_sql
 from resale.plans.q_metrics import SEGMENT_DIM_SQL, SEGMENT_SQL
 from resale.plans.registry import query
@@ -127,8 +128,9 @@ def r11_heteroscedasticity(spark, sf_dir):
 
 
 @query("r12_recommendations", f"""{WITH_RES},
-{_SEGSTATS_SQL},
-w AS (SELECT tail_rate FROM ss WHERE tail_rate IS NOT NULL ORDER BY tail_rate DESC, segment_order LIMIT 1),
+w AS (SELECT max(t) AS tail_rate FROM (
+  SELECT avg(CAST(in_tail AS DOUBLE)) * 100 AS t FROM res WHERE actual_euro > 0
+  GROUP BY CASE WHEN actual_euro <= 20000 THEN 0 WHEN actual_euro <= 35000 THEN 1 WHEN actual_euro <= 50000 THEN 2 ELSE 3 END)),
 h AS (SELECT coalesce(abs(corr(predicted_euro, abs_residual_euro)) > {K.HETERO_CORR}, false) AS het, avg(CAST(in_tail AS DOUBLE)) * 100 AS ot FROM res)
 SELECT 'heteroscedasticity' AS rule, het AS triggered FROM h
 UNION ALL SELECT 'worst_segment', coalesce((SELECT tail_rate FROM w) > {K.PROBLEM_TAIL_PCT}, false)
@@ -148,7 +150,14 @@ def r13_residual_histograms(spark, sf_dir):
     return histogram(r, "residual_euro").unionByName(histogram(r, "ape"))
 
 
-@query("r13_residual_sample")
+SAMPLE_PER_MILLE = 50
+
+
+@query("r13_residual_sample", f"""{WITH_RES}
+SELECT {KEYS_SQL}, {R('predicted_euro', 'predicted_euro')}, {R('residual_euro', 'residual_euro')} FROM res
+WHERE {md5_bucket("concat_ws('-', order_key, line_number, part_key, supp_key)", '|sample', 1000)} < {SAMPLE_PER_MILLE}""")
 def r13_residual_sample(spark, sf_dir):
-    """R-13: plot data: seeded 5 % sample of (predicted, residual) points."""
-    return res_frame(spark, sf_dir).sample(fraction=0.05, seed=42).select(*KEYS, "predicted_euro", "residual_euro")
+    """R-13: plot data: hash sample of (predicted, residual) points, ``SAMPLE_PER_MILLE`` rows of 1000, the same at any partitioning."""
+    key = F.concat_ws("-", *[F.col(k).cast("string") for k in KEYS])
+    sampled = res_frame(spark, sf_dir).where(hash_bucket(key, "|sample", 1000) < SAMPLE_PER_MILLE)
+    return sampled.select(*KEYS, "predicted_euro", "residual_euro")

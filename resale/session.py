@@ -14,9 +14,6 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Bound on the rows of a learned lookup table that may be broadcast.
-BROADCAST_MAX_ROWS = 1_000_000
-
 _DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

@@ -50,6 +50,10 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     supp_mod = F.col("l_suppkey") % 50
     part_mod = F.col("l_partkey") % 97
     model_keys = F.array(*[F.lit(k) for k in K.LISTING_MODEL_KEYS])
+    # the price follows power, model, age and mileage; the cents-free extended price, folded, is its noise
+    worth = F.lit(8000.0) + F.col("p_size") * 700 + (F.col("l_partkey") % 27) * 900
+    kept = (1000 - 45 * (F.col("p_size") % 12)) * (1000 - 8 * F.col("l_quantity")) / 1e6
+    price = worth * kept + (F.floor("l_extendedprice").cast("double") % 4001 - 2000)
     reg_date = F.date_sub(F.to_date("o_orderdate"), ((F.col("p_size") % 12) * 365).cast("int"))
     return j.select(
         F.col("l_orderkey").alias("order_key"),
@@ -72,7 +76,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat("l_returnflag", "l_linestatus").alias("paint_color"),
         F.col("o_orderpriority").alias("car_type"),
         *[((F.col("l_suppkey").bitwiseAND(1 << (k - 1))) != 0).alias(f"feature_{k}") for k in range(1, 9)],
-        F.col("l_extendedprice").alias("price"),
+        price.alias("price"),
         F.to_date("l_shipdate").cast("string").alias("sold_at"),
         hash_bucket("l_orderkey").alias("bucket"),
     )

@@ -16,10 +16,11 @@ from resale.operators import metrics as M
 from resale.operators.scoring import FittedModel, score
 
 
-def _stream(spark: SparkSession, path: str, schema, max_files: int | None = 1) -> DataFrame:
+def _stream(spark: SparkSession, path: str, schema, bytes_per_trigger: str | None = None) -> DataFrame:
+    """File stream over all that has landed; ``bytes_per_trigger`` bounds a micro-batch where memory asks for it."""
     r = spark.readStream.schema(schema).format("parquet")
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
+    if bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", bytes_per_trigger)
     return r.load(path)
 
 
@@ -39,10 +40,12 @@ def streaming_scoring(spark: SparkSession, source: str, schema, model: FittedMod
 
 
 def streaming_weekly_drift(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, watermark: str = "1 day") -> None:
-    """P-03: 7-day tumbling windows per event type with a watermark; late rows are dropped.
+    """P-03: 7-day tumbling windows per event type with a watermark.
 
     Append mode emits a window once the watermark passes its end, so windows
-    still open when the input ends are not written.
+    still open when the input ends are not written.  The watermark moves
+    between micro-batches: files that land together may be in any order, and
+    ``watermark`` must cover the disorder between landings.
     """
     ev = _stream(spark, source, schema).withWatermark("ts", watermark)
     agg = ev.groupBy("event_type", F.window("ts", "7 days").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value_sum"))
@@ -55,20 +58,23 @@ def streaming_weekly_drift(spark: SparkSession, source: str, schema, sink: str,
 
 
 def streaming_labelled_metrics(spark: SparkSession, source: str, schema, model: FittedModel, sink: str, checkpoint: str) -> None:
-    """P-04: as labelled sales arrive, per micro-batch metrics and mispricing cost per sale month,
-    appended to a report table (``foreachBatch``; the batch id makes a retried batch idempotent)."""
+    """P-04: as labelled sales arrive, each micro-batch writes its sums per sale month (``foreachBatch``;
+    the batch id names the folder, so a retried batch overwrites its own output); :func:`monthly_report`
+    adds them up."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         s = score(batch, model).where(F.col("accepted"))
         s = s.withColumn("actual_euro", F.col("price")).withColumn("predicted_log", F.col(f"pred_{model.model_id}"))
         s = s.withColumn("sale_month", F.date_format(F.to_date("sold_at"), "yyyy-MM"))
-        m = M.all_metrics(s, ["sale_month"], actual_log="price_log")
-        c = M.mispricing(s, ["sale_month"])
-        rep = m.join(c, "sale_month").withColumn("batch_id", F.lit(batch_id))
-        rep.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        M.metric_sums(s, ["sale_month"]).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     q = (
         _stream(spark, source, schema).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     q.awaitTermination()
+
+
+def monthly_report(spark: SparkSession, sink: str) -> DataFrame:
+    """One row of metrics and mispricing cost per sale month, from the sums of all batches."""
+    return M.from_sums(spark.read.parquet(sink), ["sale_month"])

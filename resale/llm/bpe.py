@@ -75,8 +75,8 @@ def codec(ranks_path: str, pattern: str) -> Codec:
     return Codec(ranks_path, pattern)
 
 
-def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False) -> DataFrame:
-    """(doc_id, ids binary, n_tokens[, starts, ends]) per row of ``df``."""
+def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids binary, n_tokens[, starts, ends][, decoded]) per row of ``df``; ``decoded`` is decoded from the ids in the same pass."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks_path, pattern)
@@ -88,9 +88,12 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
                 spans = [c.offsets(a := np.frombuffer(x, "<u4"), c.decode(a)) for x in ids]
                 cols += [pa.array([s.tolist() for s, _ in spans], pa.list_(pa.int64())), pa.array([e.tolist() for _, e in spans], pa.list_(pa.int64()))]
                 names += ["starts", "ends"]
+            if decoded:
+                cols.append(pa.array([c.decode(np.frombuffer(x, "<u4")) for x in ids], pa.binary()))
+                names.append("decoded")
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    schema = "doc_id long, ids binary, n_tokens long" + (", starts array<long>, ends array<long>" if offsets else "")
+    schema = "doc_id long, ids binary, n_tokens long" + (", starts array<long>, ends array<long>" if offsets else "") + (", decoded binary" if decoded else "")
     return keyed(df, id_col, text_col).mapInArrow(step, schema)
 
 
@@ -110,5 +113,5 @@ def decode(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 def digests(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Encode and decode every text: count and digests of the ids and of the decoded bytes."""
-    out = decode(encode(df, ranks_path, pattern), ranks_path, pattern)
+    out = encode(df, ranks_path, pattern, decoded=True)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

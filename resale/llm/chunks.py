@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 import regex
 
-MAX_ENTRIES = 300_000
+MAX_ENTRIES = 150_000
 LONG = 64
 #: Marks that are a piece of their own after letters.
 MARKS = frozenset(".,;:!?|")

@@ -61,6 +61,9 @@ def test_bpe_rows(spark):
         want.append((r.doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest()))
     assert got == sorted(want)
     assert bpe.digests(odd_rows(spark).limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+    encoded = bpe.encode(odd_rows(spark), RANKS, public_tokenizers.PATTERN, offsets=True)
+    back = bpe.decode(encoded, RANKS, public_tokenizers.PATTERN).select(F.col("decoded").cast("string").alias("t"), "starts").collect()
+    assert collections.Counter(r.t for r in back) == collections.Counter(r.text or "" for r in odd_rows(spark).collect())
 
 
 def test_token_store_round_trip(spark):

@@ -1,7 +1,7 @@
 """Small numeric helpers used on tiny result rows (never on row data).
 
 No SciPy is available, so the F-distribution tail is computed from the
-regularised incomplete beta function (continued fraction, modified Lentz),
+regularised incomplete beta function (its continued fraction),
 and normal quantiles come from :class:`statistics.NormalDist`.
 """
 
@@ -11,30 +11,23 @@ import math
 from statistics import NormalDist
 
 
-def _betacf(a: float, b: float, x: float, max_iter: int = 300, eps: float = 3e-16) -> float:
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, max_iter + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < eps:
-            break
-    return h
+#: Terms of the continued fraction; its truncation error is far below a double's precision where it is used.
+TERMS = 400
+
+
+def _fraction(a: float, b: float, x: float) -> float:
+    """1 / (1 + d1 / (1 + d2 / ...)), the continued fraction of the incomplete beta function, from its last term inwards."""
+
+    def term(k: int) -> float:
+        m = k // 2
+        if k % 2:
+            return -(a + m) * (a + b + m) * x / ((a + k - 1) * (a + k))
+        return m * (b - m) * x / ((a + k - 1) * (a + k))
+
+    value = 1.0
+    for k in range(TERMS, 0, -1):
+        value = 1.0 + term(k) / value
+    return 1.0 / value
 
 
 def betainc(a: float, b: float, x: float) -> float:
@@ -46,8 +39,8 @@ def betainc(a: float, b: float, x: float) -> float:
     lbeta = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
     front = math.exp(lbeta + a * math.log(x) + b * math.log1p(-x))
     if x < (a + 1.0) / (a + b + 2.0):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
+        return front * _fraction(a, b, x) / a
+    return 1.0 - front * _fraction(b, a, 1.0 - x) / b
 
 
 def f_sf(f: float, d1: float, d2: float) -> float:

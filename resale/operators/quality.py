@@ -11,17 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from resale.functions import constants as K
-from resale.operators import quantiles
 from resale.functions.exprs import adjusted_skewness, parse_date
+from resale.operators import quantiles
 
 
 def schema_check(df: DataFrame, expected: list[str]) -> DataFrame:
-    """Q-01: (column_name, status) with present / missing / extra."""
-    spark = df.sparkSession
-    actual = set(df.columns)
-    rows = [(c, "present" if c in actual else "missing") for c in expected]
-    rows += [(c, "extra") for c in df.columns if c not in set(expected)]
-    return spark.createDataFrame(rows, "column_name string, status string")
+    """Q-01: (column_name, status, n_values) with present / missing / extra; one aggregate counts the values of all columns."""
+    names = df.columns
+    counts = df.agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "column_name", "n_values")
+    known = F.when(F.col("column_name").isin(expected), "present").otherwise("extra")
+    missing = df.sparkSession.createDataFrame([(c, 0, "missing") for c in expected if c not in names], "column_name string, n_values long, status string")
+    return counts.withColumn("status", known).unionByName(missing)
 
 
 def infinity_counts(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -20,7 +20,7 @@ def split_label(bucket: str | Column = "bucket", train: int = K.TRAIN_SHARE, val
 
 
 def assign_split(df: DataFrame, key: str = "order_key", train: float = 0.6, val: float = 0.2, test: float = 0.2) -> DataFrame:
-    """L-01 / L-04: 60/20/20 split by hash bucket; shares must sum to 1 ± 0.001."""
+    """L-01: 60/20/20 split by hash bucket; shares must sum to 1 ± 0.001."""
     if abs(train + val + test - 1.0) >= 0.001:
         raise ValueError("split shares must sum to 1.0")
     if "bucket" not in df.columns:
@@ -28,6 +28,11 @@ def assign_split(df: DataFrame, key: str = "order_key", train: float = 0.6, val:
     return df.withColumn("data_split", split_label("bucket", round(train * 100), round(val * 100)))
 
 
+def with_split(df: DataFrame, split_col: str = "data_split") -> DataFrame:
+    """L-04: the table's own split marker, or the seeded 60/20/20 split when the marker is absent."""
+    return df if split_col in df.columns else assign_split(df)
+
+
 def eda_split(df: DataFrame, key: str = "order_key") -> DataFrame:
     """L-02: 80/20 split for exploratory analysis; the train part is analysed."""
     b = F.col("bucket") if "bucket" in df.columns else hash_bucket(key)

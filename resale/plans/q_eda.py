@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from resale.functions import constants as K
+from resale.functions.stats import normal_quantiles
 from resale.operators import eda
 from resale.plans import prepared as P
 from resale.plans.oracle_base import WITH_PROCESSED
@@ -163,7 +164,13 @@ def a10_histogram(spark, sf_dir):
     return eda.histogram(e, "price").unionByName(eda.histogram(e, "price_log"))
 
 
-@query("a11_qq_points")
+_QQ_PROBS = [(i + 1) / 100 for i in range(99)]
+_QQ_ROWS = ", ".join(f"({i + 1}, {p!r}::DOUBLE, {t!r}::DOUBLE)" for i, (p, t) in enumerate(zip(_QQ_PROBS, normal_quantiles(_QQ_PROBS))))
+
+
+@query("a11_qq_points", f"""{WITH_EDA},
+q AS (SELECT quantile_cont(price_log, [{', '.join(map(repr, _QQ_PROBS))}]) AS l FROM eda)
+SELECT {R('t.p', 'p')}, {R('t.th', 'theoretical')}, {R('q.l[t.i]', 'sample')} FROM q CROSS JOIN (VALUES {_QQ_ROWS}) AS t(i, p, th)""")
 def a11_qq_points(spark, sf_dir):
     """A-11: normal Q-Q points of log price (99-point probability grid)."""
     return eda.qq_points(eda_frame(spark, sf_dir), "price_log")

@@ -111,8 +111,9 @@ def e07_unknown_key_share(spark, sf_dir):
     b = P.base(spark, sf_dir)
     train = b.where(F.col("data_split") == "train")
     seen = train.select("model_key").where(F.col("model_key").isNotNull()).distinct()
-    cur = b.where(F.col("data_split") != "train")
-    unseen = cur.join(seen, "model_key", "left_anti").groupBy("data_split").agg(F.count(F.lit(1)).alias("n_unknown"))
-    tot = cur.groupBy("data_split").agg(F.count(F.lit(1)).alias("n_rows"))
+    # rows are counted per key first, so only the small counts meet the keys of train
+    cur = b.where(F.col("data_split") != "train").groupBy("data_split", "model_key").agg(F.count(F.lit(1)).alias("n"))
+    unseen = cur.join(seen, "model_key", "left_anti").groupBy("data_split").agg(F.sum("n").alias("n_unknown"))
+    tot = cur.groupBy("data_split").agg(F.sum("n").alias("n_rows"))
     j = tot.join(unseen, "data_split", "left").withColumn("n_unknown", F.coalesce("n_unknown", F.lit(0)))
     return j.select("data_split", "n_rows", "n_unknown", (F.col("n_unknown") * 100.0 / F.col("n_rows")).alias("unknown_pct"))

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from resale.functions import constants as K
-from resale.operators import features
-from resale.operators.features import drop_infinite
-from resale.operators import quantiles
+from resale.operators import features, quantiles
+from resale.operators.features import coerce_numeric, drop_infinite, require_columns
 from resale.plans import prepared as P
 from resale.plans.oracle_base import WITH_BASE, WITH_PARAMS, WITH_PROCESSED
 from resale.plans.registry import query
@@ -83,10 +82,10 @@ def f05_date_parse(spark, sf_dir):
 @query("f15_imputation", f"""{WITH_PARAMS}
 SELECT {KEYS_SQL}, {R('coalesce(mileage, p.median_mileage)', 'mileage_imputed')},
   {R('coalesce(CAST(engine_power AS DOUBLE), p.median_engine_power)', 'engine_power_imputed')}
-FROM base CROSS JOIN params p WHERE mileage IS NULL OR engine_power IS NULL""")
+FROM base CROSS JOIN params p""")
 def f15_imputation(spark, sf_dir):
-    """F-15: missing mileage and power take the train medians (rows that had a gap)."""
-    b = P.base(spark, sf_dir).where(F.col("mileage").isNull() | F.col("engine_power").isNull())
+    """F-15: missing mileage and power take the train medians."""
+    b = P.base(spark, sf_dir)
     p = F.broadcast(P.learned_params(spark, sf_dir))  # one row
     return b.crossJoin(p).select(
         *KEYS,
@@ -98,10 +97,10 @@ def f15_imputation(spark, sf_dir):
 @query("f16_error_repair", f"""{WITH_PARAMS}
 SELECT {KEYS_SQL}, {R('CASE WHEN mileage < 0 THEN 0.0 ELSE mileage END', 'mileage_repaired')},
   {R('CASE WHEN engine_power < 0 THEN p.median_engine_power ELSE engine_power END', 'engine_power_repaired')}
-FROM base CROSS JOIN params p WHERE mileage < 0 OR engine_power < 0""")
+FROM base CROSS JOIN params p""")
 def f16_error_repair(spark, sf_dir):
-    """F-16: negative mileage -> 0, negative power -> train median (rows with an error)."""
-    b = P.base(spark, sf_dir).where((F.col("mileage") < 0) | (F.col("engine_power") < 0))
+    """F-16: negative mileage -> 0, negative power -> train median."""
+    b = P.base(spark, sf_dir)
     p = F.broadcast(P.learned_params(spark, sf_dir))  # one row
     return b.crossJoin(p).select(
         *KEYS,
@@ -199,3 +198,19 @@ def j08_listings(spark, sf_dir):
     from resale.sources.tables import RAW_COLUMNS, listings
 
     return listings(spark, sf_dir).select(*RAW_COLUMNS).withColumn("engine_power", F.col("engine_power").cast("double"))
+
+
+@query("f01_required_columns", f"""{WITH_BASE}
+SELECT {KEYS_SQL}, {R('engine_power', 'engine_power')}, {R('price', 'price')} FROM base""")
+def f01_required_columns(spark, sf_dir):
+    """F-01: required-column check on a table whose power column has its other name."""
+    t = require_columns(P.base(spark, sf_dir).withColumnRenamed("engine_power", "power"))
+    return t.select(*KEYS, F.col("engine_power").cast("double").alias("engine_power"), "price")
+
+
+@query("f21_numeric_coercion", f"""{WITH_BASE}
+SELECT {KEYS_SQL}, {R('coalesce(TRY_CAST(model_key AS DOUBLE), 0.0)', 'model_number')}, {R('coalesce(TRY_CAST(car_type AS DOUBLE), 0.0)', 'car_type_number')} FROM base""")
+def f21_numeric_coercion(spark, sf_dir):
+    """F-21: text that is no number becomes 0.0."""
+    t = P.base(spark, sf_dir).select(*KEYS, F.col("model_key").alias("model_number"), F.col("car_type").alias("car_type_number"))
+    return coerce_numeric(t, ["model_number", "car_type_number"])

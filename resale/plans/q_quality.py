@@ -31,14 +31,17 @@ def raw(spark, sf_dir):
 _EXPECTED_SQL = ", ".join(f"('{c}')" for c in K.EXPECTED_RAW_COLUMNS)
 
 
+_VALUES_SQL = " UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS n FROM listings" for c in RAW)
+
+
 @query("q01_schema_check", f"""{WITH_BASE},
-actual AS (SELECT column_name FROM (DESCRIBE (SELECT {', '.join(RAW)} FROM listings))),
+actual AS ({_VALUES_SQL}),
 expected AS (SELECT * FROM (VALUES {_EXPECTED_SQL}) AS e(column_name))
-SELECT column_name, 'present' AS status FROM expected WHERE column_name IN (SELECT column_name FROM actual)
-UNION ALL SELECT column_name, 'missing' FROM expected WHERE column_name NOT IN (SELECT column_name FROM actual)
-UNION ALL SELECT column_name, 'extra' FROM actual WHERE column_name NOT IN (SELECT column_name FROM expected)""")
+SELECT coalesce(e.column_name, a.column_name) AS column_name,
+  CASE WHEN a.column_name IS NULL THEN 'missing' WHEN e.column_name IS NULL THEN 'extra' ELSE 'present' END AS status, {I('coalesce(a.n, 0)', 'n_values')}
+FROM expected e FULL JOIN actual a ON a.column_name = e.column_name""")
 def q01_schema_check(spark, sf_dir):
-    """Q-01: expected columns present / missing, and extra columns."""
+    """Q-01: expected columns present / missing, extra columns, and how many values each holds."""
     return Q.schema_check(raw(spark, sf_dir), K.EXPECTED_RAW_COLUMNS)
 
 
@@ -308,3 +311,13 @@ def q21_drop_corrupted(spark, sf_dir):
     """Q-21: negative-mileage rows are dropped when their share is small (<= 5 %)."""
     kept, summary = Q.drop_corrupted(raw(spark, sf_dir))
     return summary
+
+
+@query("q21_kept_rows", f"""{WITH_BASE},
+s AS (SELECT count(*) AS n, count(CASE WHEN mileage < 0 THEN 1 END) AS bad FROM listings)
+SELECT order_key, line_number, part_key, supp_key, {R('mileage', 'mileage')} FROM listings CROSS JOIN s
+WHERE bad * 100.0 / n > {K.MAX_CORRUPT_SHARE_PCT} OR mileage IS NULL OR mileage >= 0""")
+def q21_kept_rows(spark, sf_dir):
+    """Q-21: the rows that stay after negative mileages were dropped."""
+    kept, _ = Q.drop_corrupted(raw(spark, sf_dir))
+    return kept.select("order_key", "line_number", "part_key", "supp_key", "mileage")

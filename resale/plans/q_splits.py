@@ -93,3 +93,11 @@ def l07_leakage_audit(spark, sf_dir):
         "column_name", "corr_with_price", denied.alias("denied"),
         (F.coalesce(F.abs("corr_with_price") > K.LEAKAGE_CORR_BOUND, F.lit(False)) | denied).alias("flagged"),
     )
+
+
+@query("l04_split_fallback", f"""{WITH_BASE}
+SELECT {KEYS_SQL}, data_split FROM base""")
+def l04_split_fallback(spark, sf_dir):
+    """L-04: a table without the split marker gets the seeded 60/20/20 split; one that has it keeps it."""
+    marked = splits.with_split(listings(spark, sf_dir).drop("bucket"))
+    return splits.with_split(marked).select(*KEYS, "data_split")

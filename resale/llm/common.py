@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from resale.session import work_dir
@@ -79,3 +79,19 @@ def splitmix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def hashed_sample(keys: DataFrame, cap: dict | int, cls: str | None = None) -> DataFrame:
+    """At most ``cap`` rows (per class) of ``keys``: those with the smallest hash of ``doc_id``.
+
+    A count per class gives the hash below which a little more than ``cap`` rows
+    are to be expected (ten standard deviations more), so only about that many
+    rows are ranked, however large the table is.
+    """
+    by = [F.lit(0).alias("_cls")] if cls is None else [F.col(cls).alias("_cls")]
+    rows = keys.select("*", *by, (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)).alias("_u"))
+    most = F.lit(cap) if isinstance(cap, int) else F.coalesce(*[F.when(F.col("_cls") == k, F.lit(v)) for k, v in cap.items()], F.lit(0))
+    counts = rows.groupBy("_cls").agg(F.count(F.lit(1)).alias("_n")).withColumn("_cap", most)
+    near = rows.join(counts, "_cls").where(F.col("_u") < (F.col("_cap") + 10 * F.sqrt("_cap") + 10) / F.col("_n"))
+    rank = F.row_number().over(Window.partitionBy("_cls").orderBy("_u", "doc_id"))
+    return near.withColumn("_r", rank).where(F.col("_r") <= F.col("_cap")).drop("_cls", "_u", "_n", "_cap", "_r")

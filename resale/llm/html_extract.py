@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from resale.llm.common import slices, strings
+from resale.llm.common import hashed_sample, slices, strings
 
 MAX_PAGES = 200
 MAX_TOKENS = 72
@@ -416,9 +416,13 @@ def extract(htmls: list[str], model: Model | None) -> list[str]:
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = MAX_PAGES) -> Model | None:
     """Fit on the ``max_pages`` pages with the smallest hash of their id."""
-    rows = pages.select(F.col(id_col).cast("long").alias("k"), F.col(html_col).cast("string").alias("h")).where("h is not null and k is not null")
-    sample = rows.orderBy(F.xxhash64("k"), "k", F.xxhash64("h")).limit(max_pages).collect()  # bounded by max_pages
-    return train([r.h for r in sorted(sample, key=lambda r: (r.k, r.h))])
+    rows = pages.select(F.col(id_col).cast("long").alias("doc_id"), F.col(html_col).cast("string").alias("h")).where("h is not null and doc_id is not null")
+    chosen = hashed_sample(rows.select("doc_id"), max_pages).distinct().collect()  # ids only, bounded by max_pages
+    if not chosen:
+        return None
+    ids = pages.sparkSession.createDataFrame([(r.doc_id,) for r in chosen], "doc_id long")
+    sample = rows.join(F.broadcast(ids), "doc_id", "left_semi").limit(2 * max_pages).collect()  # ids may repeat
+    return train([r.h for r in sorted(sample, key=lambda r: (r.doc_id, r.h))])
 
 
 def main_text(pages: DataFrame, model: Model | None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -26,10 +26,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from resale.llm.common import SLICE_BYTES, keyed, slices, strings
+from resale.llm.common import SLICE_BYTES, hashed_sample, keyed, slices, strings
 
 DIMS = 4096
 ORDERS = (1, 2, 3)
@@ -113,8 +113,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Fit on a bounded sample of the labelled rows of ``docs``; None if there are none."""
     rows = keyed(docs, id_col, text_col)
     labelled = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).drop("n").limit(per_language * max_languages + 1)
+    chosen = hashed_sample(labelled, per_language, "lang").limit(per_language * max_languages + 1)
     picked = {r.doc_id: r.lang for r in chosen.collect()}
     if not picked:
         return None

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from resale.llm.common import keyed, slices, splitmix, strings
+from resale.llm.common import hashed_sample, keyed, slices, splitmix, strings
 from resale.llm.language import _letters
 from resale.llm.repetition import ByteHash
 
@@ -273,10 +273,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Train on a bounded sample of the labelled rows; ``labels`` has the id column and a 0/1 label."""
     rows = keyed(docs, id_col, text_col)
     marked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)").distinct()
-    first = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    limit = F.when(F.col("label") == 1, max_rows[1]).otherwise(max_rows[0])
-    bound = max(max_rows.values())
-    chosen = marked.withColumn("n", F.row_number().over(first)).where(F.col("n") <= bound).where(F.col("n") <= limit).drop("n").collect()  # bounded by max_rows
+    chosen = hashed_sample(marked, max_rows, "label").collect()  # bounded by max_rows
     if not chosen:
         return None
     spark = docs.sparkSession

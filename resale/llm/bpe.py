@@ -29,7 +29,7 @@ from resale.llm.common import keyed, slices, strings
 
 
 #: Bytes of text or ids handled at once.
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 
 class Codec:

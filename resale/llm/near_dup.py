@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from resale.llm.common import keyed, slices, splitmix, written
 from resale.llm.components import components
-from resale.llm.repetition import ByteHash, word_ranges
+from resale.llm.repetition import SLICE, ByteHash, word_ranges
 
 K = 64
 #: Percent of shared shingles among all shingles of two texts that makes a link.
@@ -74,6 +74,10 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, size: int) -> list[np.nda
     return out
 
 
+def _sets_of(data: list[bytes], size: int) -> list[np.ndarray]:
+    return shingle_sets(np.frombuffer(b"".join(data), np.uint8), np.r_[0, np.cumsum([len(x) for x in data])].astype(np.int64), size)
+
+
 def text_buffer(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and bounds of a string array without nulls."""
     text = arr.cast(pa.large_binary())
@@ -86,7 +90,7 @@ def features(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, n, sig binary, sketch array) per row; ``sig`` identifies the whole set."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 4 << 20):
+        for b in slices(batches, "text", SLICE):
             sets = shingle_sets(*text_buffer(b.column("text")), size)
             sigs = []
             for s in sets:
@@ -189,8 +193,13 @@ def _compare(rows: DataFrame, size: int, percent: int, sided: bool) -> DataFrame
     """Links (a, b) found in the blocks of ``rows`` (doc_id, text, grp, block, label, side)."""
 
     def links(block: list[tuple]) -> pa.RecordBatch:
-        data = [r[1].encode() for r in block]
-        sets = shingle_sets(np.frombuffer(b"".join(data), np.uint8), np.r_[0, np.cumsum([len(x) for x in data])].astype(np.int64), size)
+        sets, part = [], []
+        for r in block:
+            part.append(r[1].encode())
+            if sum(map(len, part)) >= SLICE // 2:
+                sets += _sets_of(part, size)
+                part = []
+        sets += _sets_of(part, size)
         found = block_links(sets, [r[2] for r in block], np.array([r[3] for r in block]) if sided else None, percent)
         return pa.RecordBatch.from_pydict({"a": pa.array([block[i][0] for i, _ in found], pa.int64()), "b": pa.array([block[j][0] for _, j in found], pa.int64())})
 

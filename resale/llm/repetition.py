@@ -30,7 +30,7 @@ SYMBOL_LIMIT = 0.10
 MIN_WORDS, BASE_NGRAM, BASE_PERCENT = 10, 5, 20
 SYMBOLS = b"#*$%&|<>"
 #: Bytes hashed at once.
-SLICE = 4 << 20
+SLICE = 1 << 20
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -61,7 +61,7 @@ class ByteHash:
     """Polynomial hashes of any ranges of one byte array, from its prefix sums."""
 
     def __init__(self, data: np.ndarray):
-        size = 1 << max(12, len(data).bit_length())
+        size = 1 << max(20, (len(data) - 1).bit_length())
         power, self.inverse = _powers(size)
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=self.sums[1:])

@@ -291,7 +291,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = model.scorer() if model else lambda texts: np.zeros(len(texts))
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 1 << 20):
             s = run(strings(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 

@@ -159,6 +159,25 @@ def test_decontamination_equals_all_windows(spark):
     assert decontaminate.verdicts(df.limit(0), bench).count() == 0
 
 
+def test_decontamination_of_reordered_items(spark):
+    """Items whose parts stand in another order: alignments lie about an item length apart, the window that holds all of it between them."""
+    rng = random.Random(18)
+    fill = [f"f{k}" for k in range(500)]
+    items = [(i, " ".join(f"i{i}x{k}" for k in range(60))) for i in range(4)] + [(4, " ".join(rng.choices(["u", "v"], k=40)))]
+    docs = []
+    for i, t in items:
+        v = t.split()
+        for r in (0, 1, 7, 10, 20, 30, 45, 59):
+            turned = v[r:] + v[:r]
+            for body in (turned, turned[:50] + ["new"] + turned[50:], turned[:r] + ["new", "new"] + turned[r:]):
+                docs.append((len(docs), " ".join(rng.choices(fill, k=rng.randint(0, 90)) + body + rng.choices(fill, k=rng.randint(0, 90)))))
+    want = {i: brute_hits(t, items) for i, t in docs}
+    assert sum(map(bool, want.values())) > 60
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.verdicts(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {r.doc_id: r.item_ids for r in got} == {i: ",".join(map(str, h)) for i, h in want.items()}
+
+
 def test_block_neighbours_cover_the_radius(spark):
     rng = random.Random(9)
     rows = []

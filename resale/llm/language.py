@@ -5,8 +5,9 @@ n-grams of 1 to 3 characters of the whole text are hashed into ``DIMS``
 counts, weighted (log of the count, IDF) and normalised.  Each language has
 several centroids (spherical k-means over its training vectors); a text gets
 the language of the centroid with the largest cosine.  It is rejected when its
-distance (1 - cosine) to that centroid exceeds what training texts of that
-language show, with a margin.
+cosine to that centroid is below nearly all that held-out training texts of that
+language and of about its length show: short texts score low, so there is a bound
+per range of lengths, learned from whole texts and from first parts of texts.
 
 The classifier is fitted on a bounded sample: per language the
 ``per_language`` rows with the smallest hash of their id; their vectors (not
@@ -36,7 +37,14 @@ ORDERS = (1, 2, 3)
 PER_LANGUAGE = 400
 MAX_LANGUAGES = 200
 CENTROIDS = 3
-MARGIN = 0.5
+#: A text is rejected below MARGIN times the cosine that this share of held-out training texts stays under.
+LOW, MARGIN = 0.01, 0.85
+FOLDS = 5
+#: First parts of the training texts, in characters, and the ranges of lengths (n-grams per order) with a bound of their own.
+PARTS = (16, 64, 256)
+EDGES = np.array([32, 128, 512])
+#: Fewest held-out cosines that make a bound.
+LEAST_ROWS = 100
 UNKNOWN = "und"
 #: Characters counted at once of a very long text.
 BLOCK = 1 << 20
@@ -74,9 +82,14 @@ def counts(text: str) -> np.ndarray | None:
     return out if seen else None
 
 
+def lengths(rows: np.ndarray) -> np.ndarray:
+    """Range of lengths of each row of counts."""
+    return np.searchsorted(EDGES, rows.sum(axis=1) // len(ORDERS), "right")
+
+
 @dataclass
 class Model:
-    """Learned IDF, centroids (one row each), their languages, and the least cosine each language accepts."""
+    """Learned IDF, centroids (one row each), their languages, and the least cosine each language accepts per range of lengths."""
 
     idf: np.ndarray
     centroids: np.ndarray
@@ -93,7 +106,7 @@ class Model:
         best = np.array([cos[:, self.owners == k].max(axis=1) for k in range(len(self.languages))]).T
         pick = best.argmax(axis=1)
         score = np.clip(best[np.arange(len(pick)), pick], 0, 1)
-        return [self.languages[k] for k in pick], score, score < self.least[pick]
+        return [self.languages[k] for k in pick], score, score < self.least[pick, lengths(rows)]
 
 
 def _k_means(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -109,6 +122,34 @@ def _k_means(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
 
 
+def _least(v: np.ndarray, own: np.ndarray, tests: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> np.ndarray:
+    """Bounds (language x range of lengths) from cosines to centroids that were learned without the text.
+
+    ``tests`` holds (training row, vector, range of lengths) of the texts and of
+    their first parts.  A range with too few of a language counts all languages, then
+    all shorter texts too; what cannot be told is 0 (nothing rejected).
+    """
+    cos = [np.full(len(row), np.nan) for row, _, _ in tests]
+    for k in range(n):
+        mine = np.flatnonzero(own == k)
+        for fold in range(min(FOLDS, len(mine)) if len(mine) > 1 else 0):
+            out = mine[fold::FOLDS]
+            g = _k_means(v[np.setdiff1d(mine, out)], CENTROIDS)
+            for c, (row, w, _) in zip(cos, tests):
+                at = np.isin(row, out)
+                c[at] = (w[at] @ g.T).max(axis=1)
+    c, lang, size = np.concatenate(cos), np.concatenate([own[row] for row, _, _ in tests]), np.concatenate([s for _, _, s in tests])
+    known = ~np.isnan(c)
+
+    def bound(k: int, j: int) -> float:
+        for some in ((lang == k) & (size == j), size == j, size <= j):
+            if (some & known).sum() >= LEAST_ROWS:
+                return MARGIN * float(np.quantile(c[some & known], LOW))
+        return 0.0
+
+    return np.array([[bound(k, j) for j in range(len(EDGES) + 1)] for k in range(n)])
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model | None:
     """Fit on a bounded sample of the labelled rows of ``docs``; None if there are none."""
     rows = keyed(docs, id_col, text_col)
@@ -122,22 +163,26 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            got = [(i, c) for i, t in zip(b.column("doc_id").to_pylist(), strings(b.column("text"))) if (c := counts(t)) is not None]
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array([i for i, _ in got], pa.int64()), "counts": pa.array([c.astype("<u4").tobytes() for _, c in got], pa.binary())})
+            got = [(i, c, counts(t[: PARTS[i % len(PARTS)]])) for i, t in zip(b.column("doc_id").to_pylist(), strings(b.column("text"))) if (c := counts(t)) is not None]
+            packed = [pa.array([None if c is None else c.astype("<u4").tobytes() for c in cs], pa.binary()) for cs in ([c for _, c, _ in got], [c for _, _, c in got])]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _, _ in got], pa.int64()), *packed], ["doc_id", "counts", "part"])
 
     ids = docs.sparkSession.createDataFrame([(i,) for i in picked], "doc_id long")  # bounded by the sample
-    sample = rows.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(step, "doc_id long, counts binary")
-    found = sorted((picked[r.doc_id], r.doc_id, bytes(r.counts)) for r in sample.collect())
+    sample = rows.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(step, "doc_id long, counts binary, part binary")
+    found = sorted((picked[r.doc_id], r.doc_id, bytes(r.counts), bytes(r.part or b"")) for r in sample.collect())
     if not found:
         return None
-    x = np.array([np.frombuffer(c, "<u4") for _, _, c in found])
+    x = np.array([np.frombuffer(c, "<u4") for _, _, c, _ in found])
+    cut = np.array([at for at, f in enumerate(found) if f[3]], np.int64)
+    parts = np.array([np.frombuffer(found[at][3], "<u4") for at in cut]).reshape(-1, DIMS)
     idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + 1
-    languages = sorted({lang for lang, _, _ in found})
-    own = np.array([languages.index(lang) for lang, _, _ in found])
-    v = Model(idf, np.empty(0), np.empty(0), [], np.empty(0)).vectors(x)
+    languages = sorted({f[0] for f in found})
+    own = np.array([languages.index(f[0]) for f in found])
+    plain = Model(idf, np.empty(0), np.empty(0), [], np.empty(0))
+    v = plain.vectors(x)
     groups = [_k_means(v[own == k], CENTROIDS) for k in range(len(languages))]
-    least = [MARGIN * float((v[own == k] @ g.T).max(axis=1).min()) for k, g in enumerate(groups)]
-    return Model(idf, np.concatenate(groups), np.repeat(np.arange(len(groups)), [len(g) for g in groups]), languages, np.array(least))
+    least = _least(v, own, [(np.arange(len(x)), v, lengths(x)), (cut, plain.vectors(parts), lengths(parts))], len(languages))
+    return Model(idf, np.concatenate(groups), np.repeat(np.arange(len(groups)), [len(g) for g in groups]), languages, least)
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

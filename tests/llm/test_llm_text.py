@@ -204,6 +204,25 @@ def test_language_held_out_accuracy(spark):
     assert got.rejected.mean() < 0.01
 
 
+def test_language_rejects_what_it_never_saw(spark):
+    """Random letters, base64 and unseen languages go, also when the training rows hold junk; clean documents stay."""
+    rng = random.Random(6)
+    noise = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(n)) for n in (30, 100, 300, 1000, 3000) for _ in range(6)]
+    noise += [base64.b64encode(rng.randbytes(4 * n)).decode() for n in (30, 100, 300, 1000, 3000) for _ in range(6)]
+    noise += [
+        "La mattina il mercato della piazza si riempie di voci e di colori, e le persone comprano frutta, verdura e pane fresco prima di tornare a casa. Nel pomeriggio i bambini giocano nel parco mentre i nonni leggono il giornale.",
+        "Aamulla tori täyttyy äänistä ja väreistä, ja ihmiset ostavat hedelmiä, vihanneksia ja tuoretta leipää ennen kuin he palaavat kotiin. Iltapäivällä lapset leikkivät puistossa ja isovanhemmat lukevat lehteä.",
+        "Sabahları pazar yeri sesler ve renklerle dolar, insanlar eve dönmeden önce meyve, sebze ve taze ekmek alırlar. Öğleden sonra çocuklar parkta oynarken büyükanneler ve büyükbabalar gazete okur.",
+    ]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    junk = spark.createDataFrame([(-1, "zq", "en"), (-2, "xkcd qwz", "fr"), (-3, "ﾊﾛｰ", "de")], docs.schema)
+    model = language.fit(docs.where("doc_id % 4 > 0").unionByName(junk))
+    got = language.predict(spark.createDataFrame(list(enumerate(noise)), "doc_id long, text string"), model).collect()
+    assert [noise[r.doc_id][:40] for r in got if not r.rejected] == []
+    clean = language.predict(docs.where("doc_id % 4 = 0"), model).toPandas()
+    assert len(clean) > 200 and clean.rejected.mean() < 0.01
+
+
 def test_language_blocks_and_odd_rows(spark, monkeypatch):
     rng = random.Random(1)
     for _ in range(100):

@@ -44,6 +44,9 @@ TREES, DEPTH, BINS, RATE = 40, 4, 32, 0.25
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "cite", "code", "data", "dfn", "em", "font", "i", "kbd", "mark", "q", "s", "samp", "small", "span", "strong", "sub", "sup", "time", "tt", "u", "var", "big", "strike", "ins", "del", "label"}
 SKIPPED = {"script", "style", "noscript", "template", "head", "title", "svg", "iframe", "object", "math", "canvas", "textarea", "select", "option", "button"}
+#: Elements that do not end a head, and the white space that does not.
+HEAD = {"head", "title", "meta", "link", "style", "script", "base", "noscript", "template"}
+SPACE = " \t\n\f\r"
 #: An open element that a start tag of the other kind closes.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 ARTICLE = {"article", "main"}
@@ -79,13 +82,14 @@ class _Tree(HTMLParser):
         self.run, self.run_linked = [], 0
 
     def handle_starttag(self, tag, attrs):
+        if self.skip == ["head"] and tag not in HEAD:
+            self.skip = []  # the end tag of a head may be left out
         if tag in SKIPPED:
-            if tag not in VOID:
+            if tag not in VOID and not (tag == "head" and self.skip):
                 self.skip.append(tag)
             return
-        if self.skip and not (tag == "body" and self.skip == ["head"]):
+        if self.skip:
             return
-        self.skip = []
         if tag == "a":
             self.links = 1
         if tag in INLINE:
@@ -130,6 +134,8 @@ class _Tree(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.skip == ["head"] and data.strip(SPACE):
+            self.skip = []
         if not self.skip:
             self.run.append(data)
             self.run_linked += self.links * len(data)

@@ -266,6 +266,27 @@ def test_pages(spark):
     assert html_extract.extract(["<p>a<p>b", "<b>x</b>y &amp; z <!-- c -->", "<div><p>cut o"], None) == ["a b", "xy & z", "cut o"]
 
 
+def leaves(html):
+    def walk(n):
+        return [n.text] if n.tag == "#text" else [t for c in n.children for t in walk(c)]
+
+    return walk(html_extract.parse(html))
+
+
+def test_head_that_is_never_closed(spark):
+    head = "<html><head>\n<meta charset=utf-8><title>x</title><link rel=a><style>p{}</style><script>var a = '<p>';</script><noscript><p>y</p></noscript><template><p>z</p></template><base href=b>"
+    for body, want in {
+        "<article><p>Hello</p></article>": ["Hello"], "Hello <b>you</b><p>there": ["Hello you", "there"], "<a href=c>Hello</a>": ["Hello"], "</head><body><p>Hello</body>": ["Hello"], "<body><p>Hello": ["Hello"],
+        "\n </head>\n<p>Hello": ["Hello"], "<iframe>no</iframe><p>Hello": ["Hello"], "<svg><text>no</text></svg>Hello": ["Hello"], "": [], " \n": [], "<head><title>no</title><p>Hello": ["Hello"], "<button>no</button><p>Hello": ["Hello"],
+    }.items():
+        assert leaves(head + body) == want, body
+    rows = [(i, f"u{i}", page(f"<p>{STORY}</p><p>{STORY} {i}</p>")) for i in range(20)]
+    rows += [(99, "u", f"<html><head><title>x</title><article><p>{STORY}</p></article>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.main_text(df, html_extract.fit(df.where("page_id < 99"))).collect()}
+    assert got[99] == STORY
+
+
 def test_decoding_is_consistent_and_best():
     rng = np.random.default_rng(2)
     for _ in range(200):

@@ -10,7 +10,8 @@ carry the inputs' log odds.
 
 Training uses a bounded sample of labelled rows: per class those with the
 smallest hash of their id, at most ``max_rows`` and ``max_chars`` characters
-in all, whole texts only.  Inputs seen in fewer than ``MIN_DOCS`` of them, and
+in all, whole texts only: if they are longer together, the longest of them are
+left out, but never the last one of a class.  Inputs seen in fewer than ``MIN_DOCS`` of them, and
 inputs beyond ``MAX_INPUTS``, have no vector.
 
 Defined results: a null text, or one without letters, is scored as one empty
@@ -279,10 +280,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     wanted = F.broadcast(spark.createDataFrame([(r.doc_id, r.label) for r in chosen], "doc_id long, label int"))
     mine = rows.join(wanted, "doc_id").select("doc_id", "label", "text", F.length("text").alias("size"))
-    # whole texts in hash order while they fit
-    upto = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, 0)
-    fits = mine.withColumn("sum", F.sum("size").over(upto)).where(F.col("sum") <= max_chars // 2)
-    got = sorted((r.label, r.doc_id, r.text) for r in fits.select("doc_id", "label", "text").collect())  # bounded by max_chars
+    # whole texts from the shortest on while they fit, so that one long text costs no other
+    by = Window.partitionBy("label").orderBy("size", F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    upto = by.rowsBetween(Window.unboundedPreceding, 0)
+    fits = mine.select("*", F.sum("size").over(upto).alias("sum"), F.row_number().over(by).alias("nth")).where((F.col("sum") <= max_chars // 2) | (F.col("nth") == 1))
+    got = sorted((r.label, r.doc_id, r.text) for r in fits.select("doc_id", "label", "text").collect())  # bounded by max_chars, or one text per class
     return train([t for _, _, t in got], np.array([k for k, _, _ in got])) if got else None
 
 

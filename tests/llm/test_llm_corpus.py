@@ -330,6 +330,20 @@ def test_toxicity_windows_cover_all_words():
         assert covered == set(range(n)) and len(text) >= 1 and (size[1:] > toxicity.WINDOW - toxicity.STRIDE).all()
 
 
+def test_toxicity_sample_passes_over_huge_texts(spark, monkeypatch):
+    """One text per class that is longer than the class may be: whichever it is, all others are trained on."""
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: seen.append((sorted(texts), sorted(labels.tolist()))))
+    for huge in [(0, 1), (2, 3), (4, 5), (6, 7)]:
+        rows = [(i, ("good " if i % 2 else "bad ") * (5000 if i in huge else 10 + i)) for i in range(8)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        labels = spark.createDataFrame([(i, 1 - i % 2) for i, _ in rows], "doc_id long, toxic int")
+        toxicity.fit(docs, labels, max_chars=10_000)
+        assert seen.pop() == (sorted(t for i, t in rows if i not in huge), [0, 0, 0, 1, 1, 1])
+        toxicity.fit(docs.where(F.col("doc_id").isin(*huge)), labels, max_chars=10_000)
+        assert seen.pop() == (sorted(rows[i][1] for i in huge), [0, 1])
+
+
 def test_toxicity_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

@@ -100,6 +100,19 @@ def e06_label_encoder_apply(spark, sf_dir):
     return out.select(*KEYS, *[f"{c}_code" for c in LABEL_COLUMNS])
 
 
+@query("e06_label_encoder_all_splits", f"""{WITH_PROCESSED},
+d AS ({_label_fit_sql()}),
+codes AS (SELECT feature, category, dense_rank() OVER (PARTITION BY feature ORDER BY category) - 1 AS code FROM d)
+SELECT t.order_key, t.line_number, t.part_key, t.supp_key, t.data_split, {', '.join(_C)}
+FROM processed t {' '.join(_J)}""")
+def e06_label_encoder_all_splits(spark, sf_dir):
+    """E-06: label codes of the train rows on the rows of all splits; text unseen in train -> -1."""
+    p = P.processed(spark, sf_dir)
+    codes = encoders.fit_label_encoder(p.where(F.col("data_split") == "train"), LABEL_COLUMNS)
+    out = encoders.apply_label_encoder(p, codes, LABEL_COLUMNS)
+    return out.select(*KEYS, "data_split", *[f"{c}_code" for c in LABEL_COLUMNS])
+
+
 @query("e07_unknown_key_share", f"""{WITH_BASE},
 seen AS (SELECT DISTINCT model_key FROM base WHERE data_split = 'train' AND model_key IS NOT NULL),
 cur AS (SELECT b.data_split, s.model_key IS NULL AS unknown FROM base b LEFT JOIN seen s ON s.model_key = b.model_key WHERE b.data_split <> 'train')

@@ -224,3 +224,19 @@ def test_searches_run_the_whole_grids(spark, monkeypatch):
     grid = catalog.queries()["t10_regularisation_grid"](spark, "x").collect()
     assert cells == [(d, leaf, 80, 1) for d in K.REG_GRID_DEPTHS for leaf in K.REG_GRID_LEAVES]
     assert [(r.train_mae, r.val_mae, r.gap) for r in grid] == [(1.0, 3.0, 2.0)] * 16
+
+
+def test_label_codes_of_all_splits(spark):
+    # E-06: the codes of train apply to every row of every split; the query equals its SQL.
+    import oracle_check
+    from conftest import SF_SMALL
+
+    from resale.plans import catalog, prepared
+
+    name = "e06_label_encoder_all_splits"
+    got = catalog.queries()[name](spark, SF_SMALL).toPandas()
+    rows = prepared.processed(spark, SF_SMALL).groupBy("data_split").count().collect()
+    assert got.data_split.value_counts().to_dict() == {r["data_split"]: r["count"] for r in rows} and len(rows) == 3
+    want = oracle_check.duck(SF_SMALL).execute(catalog.oracle_sql()[name]).fetchdf()
+    assert oracle_check.compare(got, want) == "ok"
+    assert (got[got.data_split == "train"].filter(like="_code") >= 0).all().all()

@@ -23,6 +23,7 @@ writes no shard.  Other columns are not read.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -58,12 +59,13 @@ class IdEncoder:
     """A ``tokenizers`` tokenizer giving the id bytes of whole texts in the width of its vocabulary.
 
     A plain byte-level BPE (no normalizer, no prefix blank) goes through the
-    chunk cache; any other tokenizer encodes every text by itself.
+    chunk cache; any other tokenizer encodes every text by itself.  As in the
+    library, the file's added tokens are found first: a text is cut at them, the
+    longest of those that start at one place wins, and each gives its own id.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         narrow = self.tokenizer.get_vocab_size() <= 1 << 16
         self.dtype = np.dtype("<u2") if narrow else np.dtype("<u4")
         with open(path, encoding="utf-8") as f:
@@ -71,11 +73,22 @@ class IdEncoder:
         pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
         plain = not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         plain = plain and model.get("type", "BPE") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+        added = [a for a in spec.get("added_tokens") or [] if a["content"]]
+        plain = plain and not any(a.get(k) for a in added for k in ("lstrip", "rstrip", "single_word"))
+        self.added = {a["content"]: np.array([a["id"]], self.dtype).tobytes() for a in added}
+        self.cut = re.compile("(" + "|".join(re.escape(a) for a in sorted(self.added, key=len, reverse=True)) + ")")
         self.chunks = ChunkEncoder(self.tokenizer.model, BYTE_LEVEL_PATTERN, "H" if narrow else "I") if plain else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.chunks:
-            return self.chunks.encode(texts)
+            with_added = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+            if not with_added:
+                return self.chunks.encode(texts)
+            parts = [[t] for t in texts]
+            for i in with_added:
+                parts[i] = self.cut.split(texts[i])
+            ids = iter(self.chunks.encode([x for p in parts for x in p[::2]]))
+            return [b"".join(self.added[x] if k % 2 else next(ids) for k, x in enumerate(p)) for p in parts]
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
 

@@ -88,6 +88,18 @@ def test_token_store_round_trip(spark):
     assert token_store.locate(foreign, uri, buckets).count() == 0
 
 
+def test_added_tokens_as_in_the_library():
+    """The library's default call, without any flag set."""
+    rng = random.Random(12)
+    tok = Tokenizer.from_file(JSON)
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "<|endoftext|><|endoftext|> x  <|endoftext|>", "a <|endoftext", "", *[t or "" for t in ODD]]
+    texts += ["".join(rng.choices(["<|endoftext|>", " ", "  ", "\n", "word", "'s", "<|", "é日", "12"], k=rng.randint(0, 30))) for _ in range(300)]
+    enc = token_store.IdEncoder(JSON)
+    got = [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(texts)]
+    assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got[0] == [64, 50256, 65]
+
+
 def test_token_store_empty_table(spark):
     df = odd_rows(spark).limit(0)
     uri = token_store.uri_of(spark, scratch(spark, "store"))

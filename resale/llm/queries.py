@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resale.llm import blob_ledger, bpe, chat, decontaminate, html_extract, language, near_dup, repetition, token_store, toxicity
+from resale.llm import blob_ledger, bpe, chat, decontaminate, html_extract, language, lexical, line_dedup, near_dup, repetition, token_store, toxicity, whitening
 from resale.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,6 +142,50 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit the whitening on all usable vectors, and whiten every one of them."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.transform(vectors, whitening.fit(vectors))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index every document, and rank them all for every benchmark item."""
+    return lexical.search(lexical.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = f"regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS ts FROM documents),
+st AS (SELECT count(*) AS nd, sum(len(ts)) AS nt FROM d WHERE len(ts) > 0),
+q AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark)),
+tf AS (SELECT rid, doc_id, n, t, count(*) AS f FROM (SELECT rid, doc_id, len(ts) AS n, unnest(ts) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / CAST(2 * k + 1 AS DOUBLE))) AS BIGINT) AS weight FROM (SELECT t, count(*) AS k FROM tf GROUP BY t), st),
+s AS (SELECT item_id, rid, doc_id, sum(weight * ((1000000000 * f) // (1000 * f + 8 * (10 + (90 * n * nd) // nt)))) AS score
+  FROM q JOIN w USING (t) JOIN tf USING (t) CROSS JOIN st GROUP BY item_id, rid, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS pos FROM s WHERE score > 0)
+SELECT item_id, CAST(pos AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM r WHERE pos <= 10
+"""
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep bitmaps of all documents, applied to them."""
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.digests(docs, line_dedup.keep_bitmaps(docs))
+
+
+_LINE_KEY = _LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT rid, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS p FROM d),
+k AS (SELECT *, {_LINE_KEY} AS key FROM l),
+g AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.*, keeper IS NOT NULL AND doc_id <> keeper AS gone FROM k LEFT JOIN g USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY rid, doc_id
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_token_store": op1_token_store,
     "op2_chat_format": op2_chat_format,
@@ -153,5 +197,8 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_secret_scan": op9_secret_scan,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_whitening": op11_whitening,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_line_dedup": op13_line_dedup,
 }
-ORACLES: dict[str, str] = {"op2_chat_format": OP2_SQL, "op4_minhash": OP4_SQL, "op5_decontaminate": OP5_SQL}
+ORACLES: dict[str, str] = {"op2_chat_format": OP2_SQL, "op4_minhash": OP4_SQL, "op5_decontaminate": OP5_SQL, "op12_lexical_search": OP12_SQL, "op13_line_dedup": OP13_SQL}

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from resale.functions import constants as K
 from resale.functions.exprs import adjusted_skewness
 from resale.functions.stats import f_sf, normal_quantiles
-from resale.operators import quantiles
+from resale.operators import moments, quantiles
 
 
 def per_column(df: DataFrame, columns: list[str], stats: dict[str, Callable[[Column], Column]]) -> DataFrame:
@@ -65,7 +65,7 @@ def iqr_outliers(df: DataFrame, col: str) -> DataFrame:
     d = df.select(col).crossJoin(F.broadcast(fences(df, col)))  # one row
     out = (F.col(col) < F.col("lower_fence")) | (F.col(col) > F.col("upper_fence"))
     s = d.groupBy("q1", "q3", "lower_fence", "upper_fence").agg(F.count(F.when(out, 1)).alias("n_outliers"), F.count(F.lit(1)).alias("_n"))
-    pct = F.col("n_outliers") * 100.0 / F.col("_n")
+    pct = F.try_divide(F.col("n_outliers") * 100.0, "_n")
     grade = F.when(pct < K.OUTLIER_LOW_PCT, "low").when(pct < K.OUTLIER_MID_PCT, "moderate").otherwise("high")
     return s.select(F.lit(col).alias("column_name"), "q1", "q3", "lower_fence", "upper_fence", "n_outliers", pct.alias("outlier_pct"), grade.alias("grade"))
 
@@ -77,9 +77,8 @@ def extreme_rows(df: DataFrame, col: str, keys: list[str], show: list[str], k: i
 
 
 def target_correlation(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
-    """A-06: Pearson correlation of every column with the target, pairwise-complete, one aggregate."""
-    wide = df.agg(*[F.corr(F.col(target).cast("double"), F.col(c).cast("double")).alias(c) for c in columns])
-    return wide.unpivot([], columns, "column_name", "r")
+    """A-06: Pearson correlation of every column with the target, pairwise-complete, one scan; null where one does not vary."""
+    return moments.matrix(df, [(target, c) for c in columns]).select(F.col("col_b").alias("column_name"), "r")
 
 
 def strong_predictors(corr: DataFrame) -> DataFrame:
@@ -90,29 +89,9 @@ def strong_predictors(corr: DataFrame) -> DataFrame:
     return strong.crossJoin(F.broadcast(n)).select("column_name", "r", F.abs("r").alias("abs_r"), "n_strong", grade.alias("grade"))
 
 
-CORR_CHUNK = 12
-
-
-def correlation_pairs(df: DataFrame, columns: list[str], chunk: int = CORR_CHUNK) -> DataFrame:
-    """Upper triangle of the correlation matrix (pairwise-complete).
-
-    The pairs are computed in aggregates of at most ``chunk`` correlations:
-    one aggregate with all 78 pairs generates code too large to compile
-    (Spark then falls back to a row-at-a-time path, about 6x slower), while
-    each chunk stays inside whole-stage code generation.
-    """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    parts = []
-    for i in range(0, len(pairs), chunk):
-        group = pairs[i:i + chunk]
-        wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}") for a, b in group])
-        parts.append(wide.select(F.inline(F.array(*[
-            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("r")) for a, b in group
-        ]))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Upper triangle of the correlation matrix (pairwise-complete), one scan."""
+    return moments.matrix(df, [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]).select("col_a", "col_b", "r")
 
 
 def high_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -197,7 +176,7 @@ def anova(df: DataFrame, cats: list[str], target: str = "price") -> DataFrame:
         F.sum(F.coalesce((F.col("n") - 1) * F.col("v"), F.lit(0.0))).alias("ssw"),
     )
     dfb, dfw = F.col("k") - 1, F.col("n_total") - F.col("k")
-    f = F.try_divide(F.col("ssb") / dfb, F.col("ssw") / dfw)
+    f = F.try_divide(F.try_divide("ssb", dfb), F.try_divide("ssw", dfw))
     return s.select("feature", "k", "n_total", dfb.alias("df_between"), dfw.alias("df_within"), f.alias("f_stat"))
 
 

@@ -65,7 +65,7 @@ def split_fill(fit: DataFrame) -> DataFrame:
         )),
     )
     return long.groupBy("feature", "data_split").agg(
-        (F.sum(F.col("encoded") * F.col("n")) / F.sum("n")).alias("fill")
+        F.try_divide(F.sum(F.col("encoded") * F.col("n")), F.sum("n")).alias("fill")
     )
 
 
@@ -125,5 +125,5 @@ def unknown_key_share(current: DataFrame, reference: DataFrame, key: str = "mode
     miss = unseen.agg(F.count(F.lit(1)).alias("n_unknown"))
     return total.crossJoin(miss).select(
         "n_rows", "n_unknown",
-        (F.col("n_unknown") * 100.0 / F.col("n_rows")).alias("unknown_pct"),
+        F.try_divide(F.col("n_unknown") * 100.0, "n_rows").alias("unknown_pct"),
     )

@@ -39,7 +39,7 @@ def null_counts(df: DataFrame, nan_columns: list[str]) -> DataFrame:
     cols = df.columns
     wide = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.when(is_missing(c), 1)).alias(c) for c in cols])
     long = wide.unpivot(["_n"], cols, "column_name", "null_count")
-    return long.select("column_name", "null_count", (F.col("null_count") * 100.0 / F.col("_n")).alias("null_pct"))
+    return long.select("column_name", "null_count", F.try_divide(F.col("null_count") * 100.0, "_n").alias("null_pct"))
 
 
 def missing_severity(nulls: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def diversity(df: DataFrame, exact: bool = True) -> DataFrame:
     s = df.agg(cd(F.col("price")).alias("distinct_prices"), F.count("price").alias("_n"),
                cd(F.col("model_key")).alias("distinct_model_keys"), cd(F.col("series")).alias("distinct_series"))
     return s.select(
-        "distinct_prices", (F.col("distinct_prices") * 100.0 / F.col("_n")).alias("unique_pct"),
+        "distinct_prices", F.try_divide(F.col("distinct_prices") * 100.0, "_n").alias("unique_pct"),
         (F.col("distinct_prices") == 1).alias("all_identical"), "distinct_model_keys", "distinct_series",
     )
 
@@ -77,7 +77,7 @@ def diversity(df: DataFrame, exact: bool = True) -> DataFrame:
 def zero_share(df: DataFrame) -> DataFrame:
     """Q-08: zero mileage count and share, with the 100 % and > 10 % flags."""
     s = df.agg(F.count(F.when(F.col("mileage") == 0, 1)).alias("zero_mileage"), F.count(F.lit(1)).alias("_n"))
-    pct = F.col("zero_mileage") * 100.0 / F.col("_n")
+    pct = F.try_divide(F.col("zero_mileage") * 100.0, "_n")
     return s.select("zero_mileage", pct.alias("zero_pct"), (pct == 100).alias("all_zero"), (pct > K.ZERO_MILEAGE_WARN_PCT).alias("high_zero"))
 
 
@@ -124,7 +124,7 @@ def category_distribution(df: DataFrame, cats: list[str]) -> DataFrame:
     c = long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
     t = c.groupBy("feature").agg(F.sum("n").alias("_t"))
     j = c.join(F.broadcast(t), "feature")  # one row per categorical column
-    pct = F.col("n") * 100.0 / F.col("_t")
+    pct = F.try_divide(F.col("n") * 100.0, "_t")
     return j.select("feature", "value", "n", pct.alias("pct"), (pct < K.RARE_SHARE_PCT).alias("rare"))
 
 
@@ -172,7 +172,7 @@ def verdict(df: DataFrame, raw_cols: list[str], nan_cols: list[str], expected: l
         F.year(F.max(F.to_date("sold_at"))).alias("as_of_year"),
         F.greatest(*[F.count(F.when(is_missing(c), 1)) for c in raw_cols]).alias("max_nulls"),
     )
-    pct = F.col("max_nulls") * 100.0 / F.col("n_rows")
+    pct = F.try_divide(F.col("max_nulls") * 100.0, "n_rows")
     checks = [
         ("columns", F.lit("pass" if n_missing_cols == 0 else "critical")),
         ("row_count", F.when(F.col("n_rows") >= K.MIN_ROWS, "pass").otherwise("critical")),
@@ -251,7 +251,7 @@ def drop_corrupted(df: DataFrame, max_pct: float = K.MAX_CORRUPT_SHARE_PCT) -> t
     The share is one aggregate (1 row, broadcast) and the filter stays lazy.
     """
     s = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col("mileage") < 0, 1)).alias("n_corrupt"))
-    s = s.withColumn("corrupt_pct", F.col("n_corrupt") * 100.0 / F.col("n_rows")).withColumn("dropped", F.col("corrupt_pct") <= max_pct)
+    s = s.withColumn("corrupt_pct", F.try_divide(F.col("n_corrupt") * 100.0, "n_rows")).withColumn("dropped", F.coalesce(F.col("corrupt_pct") <= max_pct, F.lit(False)))
     kept = df.crossJoin(F.broadcast(s.select("dropped"))).where(~(F.col("dropped") & F.coalesce(F.col("mileage") < 0, F.lit(False)))).drop("dropped")
     summary = s.withColumn("n_kept", F.when(F.col("dropped"), F.col("n_rows") - F.col("n_corrupt")).otherwise(F.col("n_rows")))
     return kept, summary.select("n_rows", "n_corrupt", "corrupt_pct", "dropped", "n_kept")

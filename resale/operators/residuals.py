@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from resale.functions import constants as K
-from resale.operators import quantiles
+from resale.operators import moments, quantiles
 
 
 def summary(df: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def tail_vs_normal(df: DataFrame) -> DataFrame:
     """R-03: rows, share and mean APE of tail and normal rows (shares over all rows)."""
     g = df.groupBy("in_tail").agg(F.count(F.lit(1)).alias("n"), F.avg("ape").alias("ape_mean"))
     t = df.agg(F.count(F.lit(1)).alias("_t"))
-    return g.crossJoin(F.broadcast(t)).select("in_tail", "n", (F.col("n") * 100.0 / F.col("_t")).alias("share_pct"), "ape_mean")
+    return g.crossJoin(F.broadcast(t)).select("in_tail", "n", F.try_divide(F.col("n") * 100.0, "_t").alias("share_pct"), "ape_mean")
 
 
 def segment_label(col: str = "actual_euro"):
@@ -79,8 +79,7 @@ def category_errors(df: DataFrame, cats: list[str]) -> DataFrame:
 
 def error_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """R-09: correlation of continuous features with APE."""
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col("ape")).alias(c) for c in columns])
-    return wide.unpivot([], columns, "column_name", "corr_with_ape")
+    return moments.matrix(df, [(c, "ape") for c in columns]).select(F.col("col_a").alias("column_name"), F.col("r").alias("corr_with_ape"))
 
 
 def worst(df: DataFrame, keys: list[str], k: int = K.WORST_ROWS) -> DataFrame:
@@ -90,7 +89,7 @@ def worst(df: DataFrame, keys: list[str], k: int = K.WORST_ROWS) -> DataFrame:
 
 def heteroscedasticity(df: DataFrame) -> DataFrame:
     """R-11: |corr(predicted, |residual|)| > 0.3."""
-    s = df.agg(F.corr("predicted_euro", "abs_residual_euro").alias("corr_pred_abs_residual"))
+    s = df.agg(moments.safe_corr("predicted_euro", "abs_residual_euro").alias("corr_pred_abs_residual"))
     return s.withColumn("heteroscedastic", F.coalesce(F.abs("corr_pred_abs_residual") > K.HETERO_CORR, F.lit(False)))
 
 

@@ -34,23 +34,29 @@ from resale.session import work_dir
 from resale.sources.tables import listings
 
 _LOCK = threading.RLock()
-_MEMO: dict[tuple, str] = {}
+_MEMO: dict[tuple, tuple] = {}
 VERSION = "v1"
 
 
+def location(spark: SparkSession, name: str, sf_dir: str) -> str:
+    """Folder of a table made from one input; the same in every session with the same shared folder."""
+    digest = hashlib.sha1(f"{VERSION}|{sf_dir}".encode()).hexdigest()[:12]
+    return f"{work_dir(spark)}/resale/{name}-{digest}"
+
+
 def materialize(spark: SparkSession, name: str, sf_dir: str, build, partition_by: str | None = None) -> DataFrame:
     key = (spark.sparkContext.applicationId, name, sf_dir.rstrip("/"))
     with _LOCK:
-        path = _MEMO.get(key)
-        if path is None:
-            digest = hashlib.sha1(f"{VERSION}|{sf_dir}".encode()).hexdigest()[:12]
-            path = f"{work_dir(spark)}/resale/{name}-{digest}"
-            writer = build().write.mode("overwrite")
+        if key not in _MEMO:
+            path = location(spark, name, sf_dir)
+            df = build()
+            writer = df.write.mode("overwrite")
             if partition_by:
                 writer = writer.partitionBy(partition_by)
             writer.parquet(path)
-            _MEMO[key] = path
-    return spark.read.parquet(path)
+            _MEMO[key] = path, df.schema
+        path, schema = _MEMO[key]
+    return spark.read.schema(schema).parquet(path)  # a partitioned table without rows has no file to tell its schema
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:

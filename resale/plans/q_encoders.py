@@ -129,4 +129,4 @@ def e07_unknown_key_share(spark, sf_dir):
     unseen = cur.join(seen, "model_key", "left_anti").groupBy("data_split").agg(F.sum("n").alias("n_unknown"))
     tot = cur.groupBy("data_split").agg(F.sum("n").alias("n_rows"))
     j = tot.join(unseen, "data_split", "left").withColumn("n_unknown", F.coalesce("n_unknown", F.lit(0)))
-    return j.select("data_split", "n_rows", "n_unknown", (F.col("n_unknown") * 100.0 / F.col("n_rows")).alias("unknown_pct"))
+    return j.select("data_split", "n_rows", "n_unknown", F.try_divide(F.col("n_unknown") * 100.0, "n_rows").alias("unknown_pct"))

@@ -152,7 +152,7 @@ def f23_rare_grouping(spark, sf_dir):
     b = P.base(spark, sf_dir)
     counts = b.where((F.col("data_split") == "train") & F.col("fuel").isNotNull()).groupBy("fuel").agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_t"))
-    share = counts.crossJoin(F.broadcast(total)).select("fuel", (F.col("_n") * 100.0 / F.col("_t")).alias("_share"))
+    share = counts.crossJoin(F.broadcast(total)).select("fuel", F.try_divide(F.col("_n") * 100.0, "_t").alias("_share"))
     
     j = b.join(share, "fuel", "left")
     grouped = F.when(F.col("_share").isNull() | (F.col("_share") < K.RARE_SHARE_PCT), "other").otherwise(F.col("fuel"))

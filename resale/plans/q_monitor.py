@@ -26,6 +26,33 @@ def mon_frame(spark, sf_dir):
     return P.scored(spark, sf_dir, models=[K.DEFAULT_MODEL])
 
 
+PERIOD = {"baseline": "train", "current": "test"}
+
+
+def drift_profile(spark, sf_dir):
+    """The profile of every split, written once from one scan of the scored rows; the bins lie between the price
+    floor and cap, which are the lowest and highest price of the train rows (they are clipped to them)."""
+    def build():
+        edges = P.learned_params(spark, sf_dir).select(F.col("price_floor").alias("_lo"), F.col("price_cap").alias("_hi"), ((F.col("price_cap") - F.col("price_floor")) / K.HIST_BINS).alias("_w"))
+        rows = mon_frame(spark, sf_dir)
+        values = {**{n: c for n, c, _ in SHIFTS}, "abs_residual": "abs_residual_euro"}
+        return MON.profile(rows, "data_split", edges, "price", values, {"tail": "in_tail"}, segment_label("actual_euro"), {"sale": "sold_at"}).coalesce(1)
+
+    return P.materialize(spark, "drift-profile", sf_dir, build)
+
+
+def _per_period(profiles):
+    """One row: model age, MAE, safe-zone share and rows of the splits."""
+    t = MON.merge_profiles(profiles, ["period"])
+    safe = 100 - F.try_divide(F.col("tail__true") * 100.0, "n")
+    of = lambda split, c: F.max(F.when(F.col("period") == split, c))
+    return t.agg(
+        F.datediff(of("test", F.col("sale__last")), of("train", F.col("sale__last"))).alias("age"),
+        of("val", MON.mean_of("abs_residual")).alias("val_mae"), of("test", MON.mean_of("abs_residual")).alias("test_mae"),
+        F.try_divide(of("test", F.col("n")), of("train", F.col("n"))).alias("new_share"), of("val", safe).alias("val_safe"), of("test", safe).alias("test_safe"),
+    )
+
+
 def _shift_sql():
     parts = []
     for n, c, lim in SHIFTS:
@@ -44,8 +71,7 @@ shift AS (SELECT metric, baseline, current, (current - baseline) / baseline * 10
 SELECT metric, {R('baseline', 'baseline')}, {R('current', 'current')}, {R('shift_pct', 'shift_pct')}, {R('limit_pct', 'limit_pct')}, alarm FROM shift""")
 def d01_mean_shift(spark, sf_dir):
     """D-01: mean shift of mileage (±30 %), actual price and prediction (±20 %) against the baseline."""
-    m = mon_frame(spark, sf_dir)
-    return MON.mean_shift(m.where(F.col("data_split") == "train"), m.where(F.col("data_split") == "test"), SHIFTS)
+    return MON.profile_shift(drift_profile(spark, sf_dir), *PERIOD.values(), {n: v for n, _, v in SHIFTS})
 
 
 _KL_CTE = f"""mm AS (SELECT min(price) AS lo, max(price) AS hi, (max(price) - min(price)) / {K.HIST_BINS} AS w FROM mon WHERE data_split = 'train'),
@@ -62,8 +88,7 @@ kl AS (SELECT sum((coalesce(cnt.nb * 1.0 / tot.tb, 0.0) + {K.KL_EPS}) * ln((coal
 SELECT {R('kl', 'kl')}, CASE WHEN kl < {K.KL_OK} THEN 'ok' WHEN kl <= {K.KL_RETRAIN} THEN 'watch' ELSE 'retrain' END AS level FROM kl""")
 def d02_kl_divergence(spark, sf_dir):
     """D-02: KL divergence of the price histogram, test against train bins."""
-    m = mon_frame(spark, sf_dir)
-    return MON.kl_divergence(m.where(F.col("data_split") == "train"), m.where(F.col("data_split") == "test"), "price")
+    return MON.profile_kl(drift_profile(spark, sf_dir), *PERIOD.values())
 
 
 @query("d03_unknown_key_alarm", f"""{WITH_SCORED},
@@ -122,21 +147,14 @@ FROM f"""
 @query("d05_retrain_decision", _retrain_sql())
 def d05_retrain_decision(spark, sf_dir):
     """D-05: retrain when at least 2 of 6 triggers fire (age, MAE, KL, prediction shift, new data, safe zone)."""
-    m = mon_frame(spark, sf_dir)
-    tr, va, te = (F.col("data_split") == s for s in ("train", "val", "test"))
-    s = m.agg(
-        F.datediff(F.max(F.when(te, F.to_date("sold_at"))), F.max(F.when(tr, F.to_date("sold_at")))).alias("age"),
-        F.avg(F.when(va, F.col("abs_residual_euro"))).alias("val_mae"), F.avg(F.when(te, F.col("abs_residual_euro"))).alias("test_mae"),
-        (F.count(F.when(te, 1)) / F.count(F.when(tr, 1))).alias("new_share"),
-        (100 - F.avg(F.when(va, F.col("in_tail").cast("double"))) * 100).alias("val_safe"),
-        (100 - F.avg(F.when(te, F.col("in_tail").cast("double"))) * 100).alias("test_safe"),
-    )
-    kl = MON.kl_divergence(m.where(tr), m.where(te), "price").select("kl")
-    shift = MON.mean_shift(m.where(tr), m.where(te), SHIFTS).where(F.col("metric") == "prediction").select(F.abs("shift_pct").alias("_ps"))
+    prof = drift_profile(spark, sf_dir)
+    s = _per_period(prof)
+    kl = MON.profile_kl(prof, *PERIOD.values()).select("kl")
+    shift = MON.profile_shift(prof, *PERIOD.values(), {n: v for n, _, v in SHIFTS}).where(F.col("metric") == "prediction").select(F.abs("shift_pct").alias("_ps"))
     j = s.crossJoin(kl).crossJoin(shift)  # all one-row frames
     flags = {
         "old_model": F.col("age") > K.MODEL_AGE_DAYS,
-        "mae_degraded": (F.col("test_mae") - F.col("val_mae")) / F.col("val_mae") > K.MAE_DEGRADE,
+        "mae_degraded": F.try_divide(F.col("test_mae") - F.col("val_mae"), "val_mae") > K.MAE_DEGRADE,
         "distribution_shift": F.col("kl") > K.KL_RETRAIN,
         "prediction_shift": F.col("_ps") > K.PREDICTION_SHIFT * 100,
         "enough_new_data": F.col("new_share") > K.NEW_DATA_SHARE,
@@ -168,13 +186,12 @@ FROM lv"""
 @query("m13_health_tier", _health_sql())
 def m13_health_tier(spark, sf_dir):
     """M-13: health tier from MAE, safe zone, worst segment over target and KL; the worst level wins."""
-    m = mon_frame(spark, sf_dir)
-    te = m.where(F.col("data_split") == "test")
-    t = te.agg(F.avg("abs_residual_euro").alias("mae"), (100 - F.avg(F.col("in_tail").cast("double")) * 100).alias("safe_zone"))
-    g = te.groupBy(segment_label("actual_euro").alias("segment")).agg(F.avg("abs_residual_euro").alias("_m"))
+    prof = drift_profile(spark, sf_dir)
+    t = _per_period(prof).select(F.col("test_mae").alias("mae"), F.col("test_safe").alias("safe_zone"))
+    g = MON.merge_profiles(prof.where(F.col("period") == "test"), ["segment"]).select("segment", MON.mean_of("abs_residual").alias("_m"))
     so = g.join(F.broadcast(segment_dim(spark).select("segment", "mae_target")), "segment").agg(
-        F.max((F.col("_m") - F.col("mae_target")) / F.col("mae_target") * 100).alias("worst_segment_over_pct"))
-    kl = MON.kl_divergence(m.where(F.col("data_split") == "train"), te, "price").select("kl")
+        F.max(F.try_divide(F.col("_m") - F.col("mae_target"), "mae_target") * 100).alias("worst_segment_over_pct"))
+    kl = MON.profile_kl(prof, *PERIOD.values()).select("kl")
     j = t.crossJoin(so).crossJoin(kl)
     lv = {
         "mae_level": MON.level_of(F.col("mae"), *K.HEALTH_MAE),

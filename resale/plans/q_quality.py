@@ -290,7 +290,7 @@ def q19_sold_before_registration(spark, sf_dir):
     bad = parse_date("sold_at") < parse_date("registration_date")
     return b.groupBy("data_split").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count(F.when(bad, 1)).alias("n_violations"),
-        (F.count(F.when(bad, 1)) * 100.0 / F.count(F.lit(1))).alias("violation_pct"),
+        F.try_divide(F.count(F.when(bad, 1)) * 100.0, F.count(F.lit(1))).alias("violation_pct"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from resale.functions import constants as K
-from resale.operators import splits
+from resale.operators import moments, splits
 from resale.plans import prepared as P
 from resale.plans.oracle_base import WITH_BASE, WITH_LISTINGS, WITH_PROCESSED, md5_bucket
 from resale.plans.registry import query
@@ -84,10 +84,9 @@ FROM a"""
 
 @query("l07_leakage_audit", _audit_sql())
 def l07_leakage_audit(spark, sf_dir):
-    """L-07: deny-list check plus |corr(feature, price)| above a bound, on train rows, in one aggregate."""
+    """L-07: deny-list check plus |corr(feature, price)| above a bound, on train rows, in one scan."""
     t = P.processed(spark, sf_dir).where(F.col("data_split") == "train")
-    wide = t.agg(*[F.corr("price", c).alias(c) for c in AUDIT_COLUMNS])
-    long = wide.unpivot([], AUDIT_COLUMNS, "column_name", "corr_with_price")
+    long = moments.matrix(t, [("price", c) for c in AUDIT_COLUMNS]).select(F.col("col_b").alias("column_name"), F.col("r").alias("corr_with_price"))
     denied = F.col("column_name").isin(K.LEAKY_COLUMNS)
     return long.select(
         "column_name", "corr_with_price", denied.alias("denied"),

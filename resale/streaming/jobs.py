@@ -9,8 +9,11 @@ or failed run resumes exactly where it stopped.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from resale.operators import metrics as M
 from resale.operators.scoring import FittedModel, score
@@ -24,22 +27,28 @@ def _stream(spark: SparkSession, path: str, schema, bytes_per_trigger: str | Non
     return r.load(path)
 
 
-def streaming_scoring(spark: SparkSession, source: str, schema, model: FittedModel, sink: str, checkpoint: str) -> None:
+def start_scoring(spark: SparkSession, source: str, schema, model: FittedModel, sink: str, checkpoint: str, bytes_per_trigger: str | None = None) -> StreamingQuery:
     """P-02: the batch scoring plan on an unbounded input; stateless, append to a parquet sink.
 
-    The fitted tables are static sides of stream-static joins.
+    The fitted tables are static sides of stream-static joins.  The sink's log and
+    the checkpoint name the batches that are done: a query that is stopped, or
+    fails, between or inside batches goes on without losing or doubling rows.
     """
-    q = (
-        score(_stream(spark, source, schema), model)
+    return (
+        score(_stream(spark, source, schema, bytes_per_trigger), model)
         .select("*", F.col("price_interval.lower").alias("lower"), F.col("price_interval.upper").alias("upper"))
         .drop("price_interval")
         .writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start()
     )
-    q.awaitTermination()
 
 
-def streaming_weekly_drift(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, watermark: str = "1 day") -> None:
+def streaming_scoring(spark: SparkSession, source: str, schema, model: FittedModel, sink: str, checkpoint: str, bytes_per_trigger: str | None = None) -> None:
+    """P-02 over all that has landed."""
+    start_scoring(spark, source, schema, model, sink, checkpoint, bytes_per_trigger).awaitTermination()
+
+
+def streaming_weekly_drift(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, watermark: str = "1 day") -> list[dict]:
     """P-03: 7-day tumbling windows per event type with a watermark.
 
     Append mode emits a window once the watermark passes its end, so windows
@@ -55,9 +64,30 @@ def streaming_weekly_drift(spark: SparkSession, source: str, schema, sink: str,
         .outputMode("append").trigger(availableNow=True).start()
     )
     q.awaitTermination()
+    return [{"rows": p.numInputRows, "watermark": p.eventTime.get("watermark")} for p in q.recentProgress]
+
 
+def replay_weekly_drift(spark: SparkSession, landings: Iterable[DataFrame], folder: str, sink: str, late: str, checkpoint: str, watermark: str = "1 day") -> None:
+    """P-03 over landings in their order, with a side output of the rows that come too late.
 
-def streaming_labelled_metrics(spark: SparkSession, source: str, schema, model: FittedModel, sink: str, checkpoint: str) -> None:
+    Each landing is one run of the query over the same checkpoint: the watermark
+    that its rows meet is the one the landings before it have set.  A row whose
+    window ended at or before it is dropped by the aggregation; the same rows,
+    with the landing's number and the engine's own watermark, are written to
+    ``late`` (a folder per landing, overwritten when a landing is repeated).
+    """
+    for k, rows in enumerate(landings):
+        rows.write.mode("append").parquet(folder)
+        runs = streaming_weekly_drift(spark, folder, rows.schema, sink, checkpoint, watermark)
+        met = next((r["watermark"] for r in runs if r["rows"]), None)
+        if met is None:
+            continue
+        mark = F.to_timestamp(F.lit(met))
+        dropped = rows.where(F.window("ts", "7 days").getField("end") <= mark).withColumn("watermark", mark)
+        dropped.write.mode("overwrite").parquet(f"{late}/landing={k}")
+
+
+def streaming_labelled_metrics(spark: SparkSession, source: str, schema, model: FittedModel, sink: str, checkpoint: str, bytes_per_trigger: str | None = None) -> None:
     """P-04: as labelled sales arrive, each micro-batch writes its sums per sale month (``foreachBatch``;
     the batch id names the folder, so a retried batch overwrites its own output); :func:`monthly_report`
     adds them up."""
@@ -69,7 +99,7 @@ def streaming_labelled_metrics(spark: SparkSession, source: str, schema, model:
         M.metric_sums(s, ["sale_month"]).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     q = (
-        _stream(spark, source, schema).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+        _stream(spark, source, schema, bytes_per_trigger).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     q.awaitTermination()

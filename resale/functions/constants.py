@@ -158,6 +158,9 @@ OVERFIT_GAP_OK = 500.0
 SUM_CENTER_EURO, SUM_CENTER_LOG = 20_000.0, 10.0
 PATIENCE = 5
 MIN_IMPROVEMENT = 10.0
+GROW_TREES, GROW_STEP = 500, 10
+EARLY_STOP_ROUNDS = 20
+SEARCH_DRAWS = 30
 FOREST_PARAMS = dict(
     numTrees=80, maxDepth=15, minInstancesPerNode=20, featureSubsetStrategy="sqrt", bootstrap=False, seed=42
 )
@@ -218,3 +221,15 @@ FIXTURE_CAR_TYPES = ["1-urgent", "2-high", "3-medium", "4-not specified", "5-low
 # --- fixed values: corrupted-row removal ---
 MAX_CORRUPT_SHARE_PCT = 5.0
 GOLDEN_ROWS_PER_QUARTILE = 25
+
+# --- fixed values: columns of the models, in their order, and those that are text ---
+MODEL_FEATURES = [
+    "maker_key", "model_key", "mileage", "engine_power", "registration_date", "fuel", "paint_color", "car_type",
+    *[f"feature_{k}" for k in range(1, 9)],
+    "sold_at", "series", "luxury_tier", "is_luxury", "is_performance", "registration_year", "registration_month",
+    "registration_quarter", "is_summer_registration", "is_year_end_registration", "car_age_years",
+    "age_mileage_interaction", "mileage_per_power", "annual_mileage", "power_age_ratio",
+    "luxury_mileage_interaction", "luxury_age_interaction", "is_high_mileage", "is_old_car",
+    "fuel_encoded", "color_encoded", "car_type_encoded",
+]
+STRING_FEATURES = ["maker_key", "model_key", "registration_date", "fuel", "paint_color", "car_type", "sold_at", "series"]

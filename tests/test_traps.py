@@ -192,40 +192,6 @@ def test_coerce_numeric(spark):
     assert [r.v for r in features.coerce_numeric(df, ["v"]).collect()] == [12.5, 0.0, 0.0]
 
 
-def test_searches_run_the_whole_grids(spark, monkeypatch):
-    # T1-06: 30 draws on the full forest grid; T1-10: 4 x 4 forests of 80 trees; both fit the written train rows.
-    from types import SimpleNamespace
-
-    from resale.plans import catalog, q_models as Q
-
-    frame = spark.createDataFrame([(1, "train", 1.0), (2, "val", 3.0)], "order_key long, data_split string, abs_residual_euro double")
-    seen, cells = [], []
-    monkeypatch.setattr(Q, "model_frame", lambda spark, sf_dir: frame)
-    monkeypatch.setattr(Q, "train_frame", lambda spark, sf_dir: frame.where("data_split = 'train'"))
-
-    def validator(estimatorParamMaps, **kw):
-        seen.extend(estimatorParamMaps)
-        n = len(estimatorParamMaps)
-        return SimpleNamespace(fit=lambda data: SimpleNamespace(avgMetrics=[i / n for i in range(n)], stdMetrics=[0.0] * n))
-
-    def fit(train, est):
-        cells.append((est.getMaxDepth(), est.getMinInstancesPerNode(), est.getNumTrees(), train.count()))
-
-    monkeypatch.setattr(Q.ML, "CrossValidator", validator)
-    monkeypatch.setattr(Q.ML, "fit_pipeline", fit)
-    monkeypatch.setattr(Q.ML, "predicted", lambda model, df, name: df)
-    table = catalog.queries()["t06_random_search"](spark, "x").collect()
-    assert len(table) == len(seen) == 30 and {r["rank"] for r in table} == set(range(1, 31))
-    values = {p.name: set() for p in seen[0]}
-    for m in seen:
-        for p, v in m.items():
-            values[p.name].add(v)
-    assert values["numTrees"] == {100, 200, 300, 400, 500} and values["maxDepth"] == {10, 20, 30}
-    grid = catalog.queries()["t10_regularisation_grid"](spark, "x").collect()
-    assert cells == [(d, leaf, 80, 1) for d in K.REG_GRID_DEPTHS for leaf in K.REG_GRID_LEAVES]
-    assert [(r.train_mae, r.val_mae, r.gap) for r in grid] == [(1.0, 3.0, 2.0)] * 16
-
-
 def test_label_codes_of_all_splits(spark):
     # E-06: the codes of train apply to every row of every split; the query equals its SQL.
     import oracle_check

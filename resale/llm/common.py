@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,11 @@ from resale.session import work_dir
 #: Largest text volume one Python step holds at a time (a single longer text is still taken whole).
 SLICE_BYTES = 16 << 20
 
+#: Rows of the Arrow batches that go to Python where this package writes a table; a batch of whole texts is held by
+#: the JVM and by the Python worker at the same time.
+BATCH_ROWS = 1000
+_BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
 #: White space of the word pattern ``[^\x20\x09-\x0D]+``.
 WORD_SPLIT = "[\\x20\\x09-\\x0D]+"
 
@@ -33,15 +40,63 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there, executors may be lost after it."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While it holds, Arrow batches have at most ``BATCH_ROWS`` rows, unless the session set a number of its own."""
+    chosen = spark.conf.get(_BATCH_CONF)
+    mine = chosen == _BATCH_DEFAULT
+    if mine:
+        spark.conf.set(_BATCH_CONF, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        if mine:
+            spark.conf.set(_BATCH_CONF, _BATCH_DEFAULT)
+
+
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the id and the text, under names of our own, so that no other column can clash; null text is empty."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Small Arrow batches for a whole session, unless it set a number of its own (for tables that others write)."""
+    if spark.conf.get(_BATCH_CONF) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_CONF, BATCH_ROWS)
+
+
+def trimmed(step):
+    """A step that gives freed memory back to the system when its task ends: Python workers outlive their stage."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from step(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+            if trim:
+                trim(0)
+
+    return run
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names that ``df`` does not have (names are compared as Spark does, without case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        name = f"_{name}"
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def raw_words(text: Column) -> Column:
     """Words ``[^\x20\x09-\x0D]+`` of a text, in order; an empty array if there is none."""
     return F.filter(F.split(text, WORD_SPLIT), lambda w: w != "")
@@ -81,17 +136,26 @@ def splitmix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Classes whose counts are broadcast when a sample is drawn.
+MAX_CLASSES = 100_000
+
+
 def hashed_sample(keys: DataFrame, cap: dict | int, cls: str | None = None) -> DataFrame:
-    """At most ``cap`` rows (per class) of ``keys``: those with the smallest hash of ``doc_id``.
+    """At most ``cap`` distinct rows (per class) of ``keys``: those with the smallest hash of ``doc_id``.
 
     A count per class gives the hash below which a little more than ``cap`` rows
-    are to be expected (ten standard deviations more), so only about that many
-    rows are ranked, however large the table is.
+    are to be expected (ten standard deviations more).  The counts are broadcast
+    (their number is checked), so the bound cuts the table before anything is
+    dealt by class, and only about ``cap`` rows per class are ranked.
     """
-    by = [F.lit(0).alias("_cls")] if cls is None else [F.col(cls).alias("_cls")]
-    rows = keys.select("*", *by, (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)).alias("_u"))
-    most = F.lit(cap) if isinstance(cap, int) else F.coalesce(*[F.when(F.col("_cls") == k, F.lit(v)) for k, v in cap.items()], F.lit(0))
-    counts = rows.groupBy("_cls").agg(F.count(F.lit(1)).alias("_n")).withColumn("_cap", most)
-    near = rows.join(counts, "_cls").where(F.col("_u") < (F.col("_cap") + 10 * F.sqrt("_cap") + 10) / F.col("_n"))
-    rank = F.row_number().over(Window.partitionBy("_cls").orderBy("_u", "doc_id"))
-    return near.withColumn("_r", rank).where(F.col("_r") <= F.col("_cap")).drop("_cls", "_u", "_n", "_cap", "_r")
+    label, draw, number, most, nth = free_names(keys, "cls", "u", "n", "cap", "r")
+    by = F.lit(0) if cls is None else F.col(cls)
+    rows = keys.select("*", by.alias(label), (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)).alias(draw))
+    limit = F.lit(cap) if isinstance(cap, int) else F.coalesce(*[F.when(F.col(label) == k, F.lit(v)) for k, v in cap.items()], F.lit(0))
+    counts = written(rows.groupBy(label).agg(F.count(F.lit(1)).alias(number)).withColumn(most, limit), "class-counts")
+    if counts.count() > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    near = rows.join(F.broadcast(counts), label).where(F.col(draw) < (F.col(most) + 10 * F.sqrt(most) + 10) / F.col(number))
+    near = near.distinct()  # rows of one id share a hash, however many they are
+    rank = F.row_number().over(Window.partitionBy(label).orderBy(draw, "doc_id"))
+    return near.withColumn(nth, rank).where(F.col(nth) <= F.col(most)).drop(label, draw, number, most, nth)

@@ -5,14 +5,22 @@ A text's set holds the hashes of its distinct word shingles; its sketch the
 each class goes on.  Inverted lists of retained values give the candidates:
 with values ordered rarest first, two sketches that share ``need`` values must
 meet in the lists of the first ``shared - need + 1`` shared values of each, so
-common passages create no list unless they fill most of a sketch.  Documents
-that meet in lists form candidate groups.  A group's texts are brought together
-(large groups in blocks of bounded size), where inverted lists of the sketches
-give overlaps, the sketch of the union estimates the similarity, and the exact
-Jaccard of the full sets confirms a link.  A block returns a spanning forest of
-its links, never all pairs.  A large group is compared block by block; then the
-documents outside its largest component meet every block, which covers every
-pair that could still join two components.
+common passages create no list unless they fill most of a sketch.
+
+Documents are chained only where two sketches do share ``need`` values.  Each
+member of a list is compared with the list's first document; members that this
+chains to one another are done.  Lists that still hold several chains are mixed:
+their members' sketches are brought together (long lists in cells of bounded
+size) and overlaps counted between all of them, so texts that share a passage
+but no more form no group.
+
+The texts of a candidate group are brought together (large groups in blocks of
+bounded size), where inverted lists of the sketches give overlaps, the sketch of
+the union estimates the similarity, and the exact Jaccard of the full sets
+confirms a link.  Cells and blocks return a spanning forest of their links, never
+all pairs.  A large group is compared block by block; then the documents outside
+its largest component meet every block, which covers every pair that could still
+join two components.
 
 ``need`` follows from the similarity: exact for sets that fit into a sketch,
 five standard deviations below the expected overlap for larger ones (about one
@@ -35,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from resale.llm.common import keyed, slices, splitmix, written
+from resale.llm.common import free_names, keyed, slices, splitmix, trimmed, written
 from resale.llm.components import components
 from resale.llm.repetition import SLICE, ByteHash, word_ranges
 
@@ -44,6 +52,8 @@ K = 64
 PERCENT = 80
 #: Documents and shingles that one block may hold.
 BLOCK_DOCS, BLOCK_SHINGLES = 512, 2_000_000
+#: Sketches that one cell of a mixed list may hold.
+CELL_DOCS = 4096
 NULL_ID = -(2**63)
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -74,10 +84,6 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, size: int) -> list[np.nda
     return out
 
 
-def _sets_of(data: list[bytes], size: int) -> list[np.ndarray]:
-    return shingle_sets(np.frombuffer(b"".join(data), np.uint8), np.r_[0, np.cumsum([len(x) for x in data])].astype(np.int64), size)
-
-
 def text_buffer(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and bounds of a string array without nulls."""
     text = arr.cast(pa.large_binary())
@@ -101,7 +107,7 @@ def features(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.binary()), lists], ["doc_id", "n", "sig", "sketch"])
 
     rows = keyed(df, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)))
-    return written(rows.mapInArrow(step, "doc_id long, n long, sig binary, sketch array<long>"), "features")
+    return written(rows.mapInArrow(trimmed(step), "doc_id long, n long, sig binary, sketch array<long>"), "features")
 
 
 def need_of(n, percent: int):
@@ -112,20 +118,75 @@ def need_of(n, percent: int):
 
 
 def candidate_groups(feats: DataFrame, percent: int) -> DataFrame:
-    """(doc_id, n, grp) of the documents that meet others in inverted lists; ``feats`` has one row per class."""
+    """(doc_id, n, grp) of the documents whose sketches share enough values with another's; ``feats`` has one row per class."""
     entries = feats.where("n > 0").select("doc_id", "n", F.explode("sketch").alias("value"))
     shared = entries.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     met = entries.join(shared, "value")
     lists = met.groupBy("doc_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("v"))  # K values at most
     need = need_of(F.col("n"), percent)
-    lists = lists.where(F.size("v") >= need).select("doc_id", "n", F.explode(F.slice("v", F.lit(1), F.size("v") - need + 1)).alias("e"))
-    lists = written(lists.select("doc_id", "n", F.col("e.value").alias("value")), "lists")
+    lists = lists.where(F.size("v") >= need).select("doc_id", F.explode(F.slice("v", F.lit(1), F.size("v") - need + 1)).alias("e"))
+    lists = written(lists.select("doc_id", F.col("e.value").alias("value")), "lists")
     centers = lists.groupBy("value").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("last")).where("center != last")
     edges = lists.join(centers, "value").where("doc_id != center").select("doc_id", "center").distinct()
-    found = components(edges, "doc_id", "center").select(F.col("node").alias("doc_id"), F.col("component").alias("grp"))
+    # sketches of the documents in lists only, with the number of values to share
+    sketches = written(feats.join(lists.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "sketch", need_of(F.col("n"), percent).alias("need")), "sketches")
+    own, first = sketches.alias("s"), sketches.select(F.col("doc_id").alias("center"), F.col("sketch").alias("c_sketch"), F.col("need").alias("c_need"))
+    compared = edges.join(own, "doc_id").join(first, "center")
+    near = written(compared.where(F.size(F.array_intersect("sketch", "c_sketch")) >= F.greatest("need", "c_need")).select(F.col("doc_id").alias("a"), F.col("center").alias("b")), "near")
+    more = _mixed_lists(lists, sketches, components(near, "a", "b"))
+    found = components(near.union(more), "a", "b").select(F.col("node").alias("doc_id"), F.col("component").alias("grp"))
     return feats.select("doc_id", "n").join(found, "doc_id")
 
 
+def _mixed_lists(lists: DataFrame, sketches: DataFrame, chains: DataFrame) -> DataFrame:
+    """Links (a, b) between sketches of different chains that share enough values, from the lists that hold several chains."""
+    chained = lists.join(chains.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("value", "doc_id", F.coalesce("component", "doc_id").alias("label"))
+    mixed = chained.groupBy("value").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("m"),
+        F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.sum(F.xxhash64(F.lit(1), "doc_id").cast("decimal(38,0)")).alias("y"),
+    ).where("low != high")
+    # lists with the same members (the values of one passage) are compared once
+    mixed = mixed.groupBy("m", "x", "y").agg(F.min("value").alias("value")).select("value", F.ceil(F.col("m") / CELL_DOCS).cast("int").alias("cells"))
+    members = chained.join(mixed, "value").join(sketches, "doc_id")
+    mine = F.pmod(F.xxhash64(F.lit(2), "doc_id"), "cells").cast("int")
+    others = F.explode(F.transform(F.sequence(F.lit(0), F.col("cells") - 1), lambda j: F.struct(F.least(F.col("mine"), j).alias("i"), F.greatest(F.col("mine"), j).alias("j"))))
+    cells = members.withColumn("mine", mine).select("value", "doc_id", "label", "sketch", "need", "mine", others.alias("cell")).select("value", "cell.*", "doc_id", "label", "mine", "sketch", "need")
+
+    def links(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        b = pa.concat_batches(parts)
+        doc = b.column("doc_id").to_pylist()
+        flat, ends = b.column("sketch").flatten().to_numpy(), np.cumsum(np.asarray(pa.compute.list_value_length(b.column("sketch"))))
+        apart = b.column("i")[0].as_py() != b.column("j")[0].as_py()
+        found = sketch_links(np.split(flat, ends[:-1]), b.column("need").to_numpy(), b.column("label").to_pylist(), b.column("mine").to_numpy() if apart else None)
+        return pa.RecordBatch.from_pydict({"a": pa.array([doc[i] for i, _ in found], pa.int64()), "b": pa.array([doc[j] for _, j in found], pa.int64())})
+
+    dealt = cells.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j")
+    return written(dealt.mapInArrow(trimmed(_by_run(["value", "i", "j"], links)), "a long, b long"), "mixed-links")
+
+
+def _by_run(keys: list[str], make):
+    """A step that calls ``make`` with the batches of each run of equal keys that has two rows or more."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, parts = None, []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cols = [b.column(k).to_numpy() for k in keys]
+            cuts = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols])) + 1
+            for at, end in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows]):
+                key = tuple(c[at] for c in cols)
+                if key != last:
+                    if sum(p.num_rows for p in parts) > 1:
+                        yield make(parts)
+                    last, parts = key, []
+                parts.append(b.slice(at, end - at))
+        if sum(p.num_rows for p in parts) > 1:
+            yield make(parts)
+
+    return step
+
+
 class _Forest:
     """Union-find over positions of a block."""
 
@@ -138,6 +199,29 @@ class _Forest:
         self.root[self.root == rb] = ra
 
 
+def sketch_links(sketches: list[np.ndarray], need: np.ndarray, labels: list, sides: np.ndarray | None) -> list[tuple[int, int]]:
+    """A spanning forest, over the chains ``labels``, of the pairs whose sketches share what both need.
+
+    With ``sides``, only pairs of different sides are compared.
+    """
+    m = len(sketches)
+    values, owner = np.concatenate(sketches), np.repeat(np.arange(m), [len(s) for s in sketches])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    forest, out = _Forest(labels), []
+    for d in range(1, m):
+        lo, hi = np.searchsorted(values, sketches[d]), np.searchsorted(values, sketches[d], side="right")
+        met = np.concatenate([owner[x:y] for x, y in zip(lo.tolist(), hi.tolist())])
+        fits = (np.bincount(met[met < d], minlength=d) >= np.maximum(need[:d], need[d])) & (forest.root[:d] != forest.root[d])
+        if sides is not None:
+            fits &= sides[:d] != sides[d]
+        for i in np.flatnonzero(fits).tolist():
+            if forest.root[i] != forest.root[d]:
+                forest.join(i, d)
+                out.append((i, d))
+    return out
+
+
 def block_links(sets: list[np.ndarray], labels: list, sides: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links of one block.
 
@@ -192,32 +276,31 @@ def block_links(sets: list[np.ndarray], labels: list, sides: np.ndarray | None,
 def _compare(rows: DataFrame, size: int, percent: int, sided: bool) -> DataFrame:
     """Links (a, b) found in the blocks of ``rows`` (doc_id, text, grp, block, label, side)."""
 
-    def links(block: list[tuple]) -> pa.RecordBatch:
-        sets, part = [], []
-        for r in block:
-            part.append(r[1].encode())
-            if sum(map(len, part)) >= SLICE // 2:
-                sets += _sets_of(part, size)
-                part = []
-        sets += _sets_of(part, size)
-        found = block_links(sets, [r[2] for r in block], np.array([r[3] for r in block]) if sided else None, percent)
-        return pa.RecordBatch.from_pydict({"a": pa.array([block[i][0] for i, _ in found], pa.int64()), "b": pa.array([block[j][0] for _, j in found], pa.int64())})
-
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, block = None, []
-        for b in batches:
-            cols = [b.column(c).to_pylist() for c in ("grp", "block", "doc_id", "text", "label", "side")]
-            for grp, number, *row in zip(*cols):
+        # a block keeps the sets of its texts, never the texts
+        key, docs, labels, sides, sets = None, [], [], [], []
+
+        def links() -> pa.RecordBatch:
+            found = block_links(sets, labels, np.array(sides) if sided else None, percent)
+            return pa.RecordBatch.from_pydict({"a": pa.array([docs[i] for i, _ in found], pa.int64()), "b": pa.array([docs[j] for _, j in found], pa.int64())})
+
+        for b in slices(batches, "text", SLICE):
+            found = shingle_sets(*text_buffer(b.column("text")), size)
+            cols = [b.column(c).to_pylist() for c in ("grp", "block", "doc_id", "label", "side")]
+            for grp, number, doc, label, side, own in zip(*cols, found):
                 if (grp, number) != key:
-                    if len(block) > 1:
-                        yield links(block)
-                    key, block = (grp, number), []
-                block.append(row)
-        if len(block) > 1:
-            yield links(block)
+                    if len(docs) > 1:
+                        yield links()
+                    key, docs, labels, sides, sets = (grp, number), [], [], [], []
+                docs.append(doc)
+                labels.append(label)
+                sides.append(side)
+                sets.append(own)
+        if len(docs) > 1:
+            yield links()
 
     dealt = rows.select("grp", "block", "doc_id", "text", "label", "side").repartition("grp", "block").sortWithinPartitions("grp", "block")
-    return written(dealt.mapInArrow(step, "a long, b long"), "links")
+    return written(dealt.mapInArrow(trimmed(step), "a long, b long"), "links")
 
 
 def links_in_groups(docs: DataFrame, groups: DataFrame, size: int, percent: int) -> DataFrame:
@@ -272,12 +355,12 @@ def near_duplicates(df: DataFrame, size: int = 5, percent: int = PERCENT, id_col
 def keep_one(docs: DataFrame, size: int = 5, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, with all columns of ``docs``; of repeated rows one stays."""
     found = near_duplicates(docs, size, percent, id_col, text_col)
-    per_id = written(found.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__copies")), "kept")
-    key = F.col("doc_id").alias("__id")
-    ids = per_id.select(key, "__copies")
-    stay = docs.join(ids, docs[id_col].cast("long").eqNullSafe(F.col("__id")))
-    once = stay.where("__copies = 1")
-    if per_id.where("`__copies` > 1").isEmpty():
-        return once.select(*docs.columns)
-    rest = stay.where("__copies > 1").dropDuplicates(["__id"])
-    return once.union(rest).select(*docs.columns)
+    per_id = written(found.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies")), "kept")
+    key, copies = free_names(docs, "id", "copies")
+    ids = per_id.select(F.col("doc_id").alias(key), F.col("copies").alias(copies))
+    stay = docs.join(ids, docs[id_col].cast("long").eqNullSafe(ids[key]))
+    once = stay.where(ids[copies] == 1)
+    if per_id.where("copies > 1").isEmpty():
+        return once.drop(key, copies)
+    rest = stay.where(ids[copies] > 1).dropDuplicates([key])
+    return once.unionByName(rest).drop(key, copies)

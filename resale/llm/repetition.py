@@ -1,8 +1,8 @@
 """Repetition coverage of whole texts: rolling hashes of several n-gram lengths, in numpy over Arrow batches.
 
 Words are ``[^\x20\x09-\x0D]+``.  The bytes of a slice of texts are hashed at
-once: one 64-bit polynomial hash per word, a rolling combination of them per
-n-gram, one sort per n-gram length that finds the windows of a text which
+once: one polynomial hash modulo two primes per word, a rolling combination of
+them per n-gram, one sort per n-gram length that finds the windows of a text which
 occur in it again.  Coverage is the share of a text's word characters that lie
 in such windows (each character once), and the share of its characters in
 lines equal to an earlier line.
@@ -30,11 +30,12 @@ SYMBOL_LIMIT = 0.10
 MIN_WORDS, BASE_NGRAM, BASE_PERCENT = 10, 5, 20
 SYMBOLS = b"#*$%&|<>"
 #: Bytes hashed at once.
-SLICE = 1 << 20
+SLICE = 1 << 19
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
+#: Two primes below 2**31 and a base for each (fixed values): sums of products stay within 64 bits.
+_PRIMES, _BASES = (2147483629, 2147483587), (1270938503, 998244353)
 
 
 def _is(chars: bytes) -> np.ndarray:
@@ -46,29 +47,47 @@ def _is(chars: bytes) -> np.ndarray:
 _SPACE, _SYMBOL = _is(SPACE), _is(SYMBOLS)
 
 
-@lru_cache(maxsize=1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    out = []
-    for b in (int(_BASE), pow(int(_BASE), -1, 1 << 64)):
-        row = np.full(size, b, np.uint64)
-        row[0] = 1
-        out.append(np.multiply.accumulate(row))
-    return out[0], out[1]
+def _powers(base: int, prime: int, size: int) -> np.ndarray:
+    """The first powers of a base modulo a prime."""
+    out = np.ones(1, np.uint64)
+    while len(out) < size:
+        out = np.concatenate([out, out * np.uint64(pow(base, len(out), prime)) % np.uint64(prime)])
+    return out[:size]
+
+
+@lru_cache(maxsize=4)
+def _usual(base: int, prime: int) -> np.ndarray:
+    return _powers(base, prime, SLICE).astype(np.uint32)
+
+
+def _first_powers(base: int, prime: int, size: int) -> np.ndarray:
+    return _usual(base, prime)[:size] if size <= SLICE else _powers(base, prime, size)
 
 
 class ByteHash:
-    """Polynomial hashes of any ranges of one byte array, from its prefix sums."""
+    """Polynomial hashes of any ranges of one array, from its prefix sums, modulo two primes.
+
+    A modulus of 2**64 would not do: there, regular texts (Thue-Morse words) of
+    one length collide for every odd base.
+    """
 
     def __init__(self, data: np.ndarray):
-        size = 1 << max(20, (len(data) - 1).bit_length())
-        power, self.inverse = _powers(size)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=self.sums[1:])
+        shifted = data.astype(np.uint64) + np.uint64(1)
+        self.size, self.sums = len(data), []
+        for prime, base in zip(_PRIMES, _BASES):
+            sums = np.zeros(len(data) + 1, np.uint64)
+            # terms are reduced, so that 2**33 of them can be added up
+            np.cumsum(shifted * _first_powers(base, prime, len(data)) % np.uint64(prime), out=sums[1:])
+            self.sums.append(sums)
 
     def of(self, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        own = (self.sums[ends] - self.sums[begins]) * self.inverse[begins]
-        return splitmix(own + (ends - begins).astype(np.uint64) * _STEP)
+        """Hashes of non-empty ranges."""
+        out = (ends - begins).astype(np.uint64) * _STEP
+        for k, (prime, base, sums) in enumerate(zip(_PRIMES, _BASES, self.sums)):
+            p = np.uint64(prime)
+            own = (sums[ends] - sums[begins]) % p * _first_powers(pow(base, -1, prime), prime, self.size)[begins] % p
+            out += own << np.uint64(32 * k)
+        return splitmix(out)
 
 
 def _repeated(keys: np.ndarray) -> np.ndarray:

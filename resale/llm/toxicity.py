@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,6 @@ from pyspark.sql import functions as F
 
 from resale.llm.common import hashed_sample, keyed, slices, splitmix, strings
 from resale.llm.language import _letters
-from resale.llm.repetition import ByteHash
 
 WINDOW, STRIDE = 32, 16
 HIDDEN, DIMS = 8, 8
@@ -46,6 +46,34 @@ SLOTS = 1 << 20
 TOGETHER = 4096
 
 
+_BASE, _STEP = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64."""
+    out = []
+    for b in (int(_BASE), pow(int(_BASE), -1, 1 << 64)):
+        row = np.full(size, b, np.uint64)
+        row[0] = 1
+        out.append(np.multiply.accumulate(row))
+    return out[0], out[1]
+
+
+class InputHash:
+    """Hashes of any ranges of one array modulo 2**64; for inputs of the network, which need no more than rare collisions."""
+
+    def __init__(self, data: np.ndarray):
+        size = 1 << max(20, (len(data) - 1).bit_length())
+        power, self.inverse = _powers(size)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=self.sums[1:])
+
+    def of(self, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        own = (self.sums[ends] - self.sums[begins]) * self.inverse[begins]
+        return splitmix(own + (ends - begins).astype(np.uint64) * _STEP)
+
+
 def inputs(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the inputs of every word of all texts (words x INPUTS, 0 where a word is too short), and the first word of each text."""
     low = [t.lower() for t in texts]
@@ -55,7 +83,7 @@ def inputs(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     letter = np.r_[False, _letters()[c], False]
     begins = np.flatnonzero(letter[1:] & ~letter[:-1])
     ends = np.flatnonzero(letter[:-1] & ~letter[1:])
-    h = ByteHash(c)
+    h = InputHash(c)
     size = ends - begins
     out = np.zeros((len(begins), INPUTS), np.uint64)
     out[:, 0] = h.of(begins, ends)

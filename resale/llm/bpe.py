@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import models
 
 from resale.llm.chunks import ChunkEncoder, byte_table
-from resale.llm.common import keyed, slices, strings
+from resale.llm.common import keyed, slices, strings, trimmed
 
 
 #: Bytes of text or ids handled at once.
@@ -94,7 +94,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays(cols, names)
 
     schema = "doc_id long, ids binary, n_tokens long" + (", starts array<long>, ends array<long>" if offsets else "") + (", decoded binary" if decoded else "")
-    return keyed(df, id_col, text_col).mapInArrow(step, schema)
+    return keyed(df, id_col, text_col).mapInArrow(trimmed(step), schema)
 
 
 def decode(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

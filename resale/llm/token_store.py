@@ -4,11 +4,12 @@ Texts are range-partitioned and sorted by key; each partition writes one
 *shard*: a header, the raw ids of its documents one after the other (the end
 id included), and a footer with the keys and lengths.  The *index* is split
 into buckets by a hash of the key.  A bucket holds a minimal perfect hash
-(levels of bit arrays; a key sits at the first level where it collides with
-nobody, its slot is the rank of its bit) and one slot per key: fingerprint,
-shard, offset, length.  A lookup is a bucket hash, a handful of bit tests and
-one slot read, whatever the number of documents; the stored fingerprint tells
-foreign keys apart.
+(levels of bit arrays, every word with the number of bits before it; a key sits
+at the first level where it collides with nobody, its slot is the rank of its
+bit) and one slot per key: fingerprint, shard, row, offset, length.  A lookup is a
+bucket hash, a handful of bit tests and one slot read, whatever the number of
+documents; the stored fingerprint tells foreign keys apart.  :func:`get` reads just
+these bytes and the payload, never a bucket or a footer as a whole.
 
 Files are written under a private name and moved into place, so a repeated
 task leaves the same file.  Paths may lie in any store pyarrow can open.
@@ -44,15 +45,19 @@ from resale.llm.chunks import ChunkEncoder
 from resale.llm.common import keyed, slices, splitmix, strings, written
 
 MAGIC = b"IDSHARD1"
-INDEX_MAGIC = b"IDINDEX1"
+INDEX_MAGIC = b"IDINDEX2"
 #: Split pattern of the library's byte-level pre-tokenizer (fixed value).
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bytes of text encoded at once.
 SLICE = 4 << 20
+#: Chunks in a generation of the encoder's cache (about 150 bytes each).
+CACHED_CHUNKS = 250_000
 KEYS_PER_BUCKET = 100_000
 GAMMA = 2.0
-SLOT = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("n_tokens", "<u8"), ("copies", "<u4"), ("parts", "<u4")])
-RUN_SCHEMA = "doc_id long, shard long, offset long, n_tokens long, copies long, run_tokens long"
+SLOT = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("n_tokens", "<u8"), ("row", "<u8"), ("copies", "<u4"), ("parts", "<u4")])
+#: A word of a level and the number of set bits before it in all levels.
+WORD = np.dtype([("bits", "<u8"), ("before", "<u4")])
+RUN_SCHEMA = "doc_id long, shard long, row long, offset long, n_tokens long, copies long, run_tokens long"
 
 
 class IdEncoder:
@@ -77,7 +82,7 @@ class IdEncoder:
         plain = plain and not any(a.get(k) for a in added for k in ("lstrip", "rstrip", "single_word"))
         self.added = {a["content"]: np.array([a["id"]], self.dtype).tobytes() for a in added}
         self.cut = re.compile("(" + "|".join(re.escape(a) for a in sorted(self.added, key=len, reverse=True)) + ")")
-        self.chunks = ChunkEncoder(self.tokenizer.model, BYTE_LEVEL_PATTERN, "H" if narrow else "I") if plain else None
+        self.chunks = ChunkEncoder(self.tokenizer.model, BYTE_LEVEL_PATTERN, "H" if narrow else "I", CACHED_CHUNKS, newline_alone=True) if plain else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.chunks:
@@ -99,12 +104,16 @@ def encoder(path: str) -> IdEncoder:
 
 
 def _put(uri: str, name: str, write) -> None:
-    """Write a file under a private name, then move it into place."""
+    """Write a file under a private name, then move it into place; a failed attempt takes its file away."""
     files, base = pafs.FileSystem.from_uri(uri)
     files.create_dir(base, recursive=True)
     tmp = f"{base}/.{name}-{uuid.uuid4().hex}"
-    with files.open_output_stream(tmp) as out:
-        write(out)
+    try:
+        with files.open_output_stream(tmp) as out:
+            write(out)
+    except BaseException:
+        files.delete_file(tmp)
+        raise
     files.move(tmp, f"{base}/{name}")
 
 
@@ -151,10 +160,10 @@ def write_shards(df: DataFrame, uri: str, tokenizer_path: str, end_id: int, id_c
         copies = np.diff(np.r_[begins, len(key)])
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(key[begins], mask=null[begins].astype(bool)), pa.array(np.full(len(begins), number)), pa.array((ends - size)[begins]),
+                pa.array(key[begins], mask=null[begins].astype(bool)), pa.array(np.full(len(begins), number)), pa.array(begins), pa.array((ends - size)[begins]),
                 pa.array(size[begins]), pa.array(copies), pa.array(np.add.reduceat(size, begins)),
             ],
-            ["doc_id", "shard", "offset", "n_tokens", "copies", "run_tokens"],
+            ["doc_id", "shard", "row", "offset", "n_tokens", "copies", "run_tokens"],
         )
 
     rows = keyed(df, id_col, text_col)
@@ -219,7 +228,7 @@ def build_index(runs: DataFrame, uri: str, n_buckets: int) -> DataFrame:
     """Write the bucket files of the index; returns (bucket, n_keys)."""
     by_key = Window.partitionBy("doc_id")
     rows = runs.select(
-        _bucket(n_buckets).alias("bucket"), "doc_id", "shard", "offset", "n_tokens", "copies",
+        _bucket(n_buckets).alias("bucket"), "doc_id", "shard", "row", "offset", "n_tokens", "copies",
         (F.col("shard") - F.min("shard").over(by_key)).alias("part"), F.count(F.lit(1)).over(by_key).alias("parts"),
     )
 
@@ -231,13 +240,16 @@ def build_index(runs: DataFrame, uri: str, n_buckets: int) -> DataFrame:
         slots = np.zeros(len(keys), SLOT)
         at = mph.slots(keys)
         slots["fingerprint"][at] = _fingerprint(keys)
-        for name in ("shard", "offset", "n_tokens", "copies", "parts"):
+        for name in ("shard", "row", "offset", "n_tokens", "copies", "parts"):
             slots[name][at] = pdf[name].to_numpy()
 
         def body(out) -> None:
             out.write(INDEX_MAGIC + struct.pack("<II", len(slots), len(mph.levels)))
-            for words in mph.levels:
-                out.write(struct.pack("<I", len(words)) + words.tobytes())
+            out.write(struct.pack(f"<{len(mph.levels)}I", *map(len, mph.levels)))
+            for words, before in zip(mph.levels, mph.ranks):
+                level = np.zeros(len(words), WORD)
+                level["bits"], level["before"] = words, before
+                out.write(level.tobytes())
             out.write(slots.tobytes())
 
         _put(f"{uri}/index-{n_buckets}", f"bucket-{number:07d}.idx", body)
@@ -255,11 +267,11 @@ class IndexBucket:
 
     def __init__(self, data: bytes):
         n, levels = struct.unpack_from("<II", data, 8)
-        at, words = 16, []
-        for _ in range(levels):
-            (m,) = struct.unpack_from("<I", data, at)
-            words.append(np.frombuffer(data, "<u8", m, at + 4))
-            at += 4 + 8 * m
+        sizes = struct.unpack_from(f"<{levels}I", data, 16)
+        at, words = 16 + 4 * levels, []
+        for m in sizes:
+            words.append(np.frombuffer(data, WORD, m, at)["bits"])
+            at += WORD.itemsize * m
         self.mph, self.slots = PerfectHash(words), np.frombuffer(data, SLOT, n, at)
 
     def lookup(self, doc_id: np.ndarray, null: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -349,21 +361,51 @@ def write(df: DataFrame, uri: str, tokenizer_path: str, end_id: int, id_col: str
     return runs, n_buckets
 
 
+def _slot(f, key: np.ndarray) -> np.ndarray | None:
+    """The slot of a hashed key in an open bucket file: the level sizes, one word a level, one slot."""
+    n, levels = struct.unpack("<II", f.read_at(8, 8))
+    sizes = struct.unpack(f"<{levels}I", f.read_at(4 * levels, 16))
+    begin = 16 + 4 * levels
+    slots = begin + WORD.itemsize * sum(sizes)
+    for level, m in enumerate(sizes):
+        at = int(PerfectHash._at(key, level, 64 * m)[0])
+        word = np.frombuffer(f.read_at(WORD.itemsize, begin + WORD.itemsize * (at >> 6)), WORD)[0]
+        bits, bit = int(word["bits"]), at & 63
+        if bits >> bit & 1:
+            number = int(word["before"]) + (bits & ((1 << bit) - 1)).bit_count()
+            slot = np.frombuffer(f.read_at(SLOT.itemsize, slots + SLOT.itemsize * number), SLOT)[0]
+            return slot if slot["fingerprint"] == _fingerprint(key)[0] else None
+        begin += WORD.itemsize * m
+    return None
+
+
 def get(uri: str, n_buckets: int, doc_id: int | None) -> list[np.ndarray]:
-    """The ids of every row with this key: one bucket read, one slot, one payload read per row."""
+    """The ids of every row with this key, by reads of fixed size but for the payload (and the lengths of rows that share the key)."""
     hashed = 42 if doc_id is None else xxhash.xxh64(struct.pack("<q", doc_id), seed=42).intdigest()
     hashed -= (hashed >> 63) << 64
-    data = _read(f"{uri}/index-{n_buckets}", f"bucket-{hashed % n_buckets:07d}.idx")
+    files, base = pafs.FileSystem.from_uri(uri)
+    bucket = f"{base}/index-{n_buckets}/bucket-{hashed % n_buckets:07d}.idx"
     out: list[np.ndarray] = []
-    part, parts = 0, 1
-    while data is not None and part < parts:
-        slot, found = IndexBucket(data).lookup(np.array([doc_id or 0]), np.array([doc_id is None]), np.array([part]))
-        if not found[0]:
-            break
-        s = Shard(uri, int(slot["shard"][0]))
-        at = int(np.searchsorted(s.starts, int(slot["offset"][0])))
-        out += [s.ids(int(s.starts[r]), int(s.lengths[r])) for r in range(at, at + int(slot["copies"][0]))]
-        part, parts = part + 1, int(slot["parts"][0])
+    if files.get_file_info(bucket).type != pafs.FileType.File:
+        return out
+    with files.open_input_file(bucket) as index:
+        part, parts = 0, 1
+        while part < parts:
+            slot = _slot(index, _key_hash(np.array([doc_id or 0]), np.array([doc_id is None]), np.array([part])))
+            if slot is None:
+                break
+            with files.open_input_file(f"{base}/shards/{_shard_name(int(slot['shard']))}") as f:
+                (width,) = struct.unpack("<I", f.read_at(4, 8))
+                lengths, copies = [int(slot["n_tokens"])], int(slot["copies"])
+                if copies > 1:
+                    size = f.size()
+                    (n,) = struct.unpack("<Q", f.read_at(8, size - 16))
+                    lengths = np.frombuffer(f.read_at(8 * copies, size - 16 - 8 * (n - int(slot["row"]))), "<i8").tolist()
+                at = 12 + int(slot["offset"]) * width
+                for length in lengths:
+                    out.append(np.frombuffer(f.read_at(length * width, at), f"<u{width}"))
+                    at += length * width
+            part, parts = part + 1, int(slot["parts"])
     return out
 
 

@@ -132,7 +132,7 @@ def test_chat_turns_and_loss(spark):
     rows = [(1, i, role, t) for i, (role, t) in enumerate(zip(["system", "user", "assistant"] * 4, CONTROL_TEXTS))]
     rows += [(2, 0, None, None), (None, 0, "assistant", "x"), (3, 5, "assistant", "b"), (3, 5, "assistant", "b"), (3, None, "a\n<|text|>", "first")]
     df = spark.createDataFrame(rows, chat.TURN_SCHEMA).withColumn("formatted", F.lit("clash")).withColumn("loss", F.lit(0))
-    turns = chat.turns_of_table(df, columns=["conv_id", "turn", "role", "text"])
+    turns = chat.turns_of_table(df)
     got = {r.conv_id: r for r in chat.digests(chat.format_turns(turns)).collect()}
     groups = collections.defaultdict(list)
     for c, n, role, text in rows:
@@ -166,6 +166,26 @@ def test_chat_layouts(spark):
         chat.turns_of_table(df)
 
 
+def test_chat_tables_by_fingerprint(spark):
+    """The hash of a table's field paths selects its mapping; other columns do not count."""
+    from pyspark.sql import Row
+
+    def turns(df):
+        return sorted((r.conv_id, r.turn, r.role, r.text) for r in chat.turns_of_table(df, id_col="k").collect())
+
+    plain = spark.createDataFrame([(1, "i", None, "o", 5)], "k long, instruction string, input string, output string, score int")
+    assert turns(plain) == [(1, 0, "system", "i"), (1, 1, "user", ""), (1, 2, "assistant", "o")]
+    assert turns(plain.drop("input")) == [(1, 0, "user", "i"), (1, 1, "assistant", "o")]
+    said = spark.createDataFrame([Row(k=2, conversations=[Row(**{"from": "human", "value": "h", "weight": 1}), Row(**{"from": "gpt", "value": None, "weight": 2})])])
+    assert turns(said) == [(2, 0, "user", "h"), (2, 1, "assistant", "")]
+    known = {x.name: x for x in chat.LAYOUTS}
+    assert chat.select_layout(["conv_id", "turn", "role", "text", "formatted", "prompt"]) is known["turn_rows"]
+    assert chat.select_layout(["prompt", "completion", "response"]) is known["prompt_completion"]
+    assert chat.select_layout(["prompt"]) is None and chat.select_layout([]) is None
+    one = spark.range(1).select(*[chat.fingerprint(F.lit(x.skeleton)).alias(x.name) for x in chat.LAYOUTS]).first()
+    assert all(one[x.name] == chat.fingerprint_of(x.skeleton) for x in chat.LAYOUTS)
+
+
 def brute_repetition(text: str) -> dict[str, int]:
     w = WORD.findall(text)
     out = {"n_words": len(w), "word_chars": sum(map(len, w)), "n_symbols": sum(c in "#*$%&|<>" for c in text)}
@@ -195,6 +215,29 @@ def test_repetition_equals_brute_force():
             assert {k: int(m[k][i]) for k in want} == want
 
 
+def test_equal_hashes_are_equal_texts():
+    """Thue-Morse words and their complements collide under every odd base modulo a power of two."""
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+    lines = [word[:2048], word[2048:4096], word[:2048].translate(str.maketrans("ab", "ba"))]
+    text = "\n".join([lines[0], lines[1], "x y", lines[0]])
+    data = np.frombuffer(text.encode(), np.uint8)
+    m = repetition.measure(data, np.array([0, len(data)]))
+    assert m["n_dup_lines"][0] == brute_repetition(text)["n_dup_lines"] == 1 + (lines[0] == lines[1])
+    rng = np.random.default_rng(4)
+    data = rng.integers(97, 99, 70_000).astype(np.uint8)
+    at = rng.integers(0, 60_000, 4000)
+    ends = at + rng.integers(1, 12, 4000)
+    hashed = repetition.ByteHash(data).of(at, ends)
+    first = {}
+    for h, a, e in zip(hashed.tolist(), at.tolist(), ends.tolist()):
+        assert first.setdefault(h, data[a:e].tobytes()) == data[a:e].tobytes()
+    assert len(first) == len({data[a:e].tobytes() for a, e in zip(at, ends)})
+    long = repetition.ByteHash(np.tile(data, 12)).of(np.array([5, 70_005, 500_000]), np.array([300, 70_300, 500_295]))  # beyond the kept powers
+    assert long[0] == long[1] != long[2]
+
+
 def test_repetition_rows(spark):
     df = odd_rows(spark)
     got = repetition.score(df).collect()
@@ -235,6 +278,35 @@ def test_language_rejects_what_it_never_saw(spark):
     assert len(clean) > 200 and clean.rejected.mean() < 0.01
 
 
+def test_language_scores_equal_plain_cosines(spark):
+    """Counts, weights and cosines written out in loops."""
+    train = spark.createDataFrame([(i, f"{['hello my world', 'bonjour le monde', 'hallo du welt'][i % 3]} {chr(97 + i % 7)}", ["en", "fr", "de"][i % 3]) for i in range(60)], "doc_id long, text string, lang string")
+    model = language.fit(train)
+    texts = ["hello world", "le monde, bonjour!", "Ünd so weiter 12", "zzz"]
+    got = language.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    for r in got:
+        low = "".join(c if c.isalpha() else " " for c in texts[r.doc_id].lower())
+        low = f" {' '.join(low.split())} "
+        count = collections.Counter()
+        for n in language.ORDERS:
+            for k in range(len(low) - n + 1):
+                h = 0
+                for c in low[k : k + n]:
+                    h = (h * 1000003 + ord(c)) % 2**64
+                count[(h * 0x9E3779B97F4A7C15 + n) % 2**64 >> 52] += 1
+        weight = {d: np.log1p(c) * float(model.idf[d]) for d, c in count.items()}
+        size = sum(w * w for w in weight.values()) ** 0.5
+        cosines = [sum(w / size * float(g[d]) for d, w in weight.items()) for g in model.centroids]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert r.lang_pred == model.languages[model.owners[best]] and abs(r.score - cosines[best]) < 1e-5
+    assert language.predict(train.limit(0), model).count() == 0
+    # many rows that share one sampled id, and ids with several languages
+    same = train.unionByName(spark.createDataFrame([(3, f"bonjour {k}", ["fr", "en"][k % 2]) for k in range(500)], train.schema))
+    assert language.fit(same).languages == ["de", "en", "fr"]
+    with pytest.raises(ValueError):
+        language.fit(train, max_languages=2)
+
+
 def test_language_blocks_and_odd_rows(spark, monkeypatch):
     rng = random.Random(1)
     for _ in range(100):

@@ -156,15 +156,20 @@ def predictions(df: DataFrame, fit: DataFrame) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str, inverse: str = "expm1", columns: list[str] | None = None,
-           models: list[str] | None = None) -> DataFrame:
+           models: list[str] | None = None, only: DataFrame | None = None) -> DataFrame:
     """Long scored table: one row per (model_id, listing) with euro values and residual columns (R-01).
 
+    ``only`` (row keys, few) limits the listings before anything is predicted.
+
     ``models`` limits the generated rows to the models a query reads (the
     model id is a generated column, so a later filter could not be pushed
     below the generator).
     """
     cols = columns or SCORED_COLUMNS
-    df = predictions(processed(spark, sf_dir).select(*cols), baseline_fit(spark, sf_dir))
+    rows = processed(spark, sf_dir).select(*cols)
+    if only is not None:
+        rows = rows.join(F.broadcast(only), only.columns, "left_semi")
+    df = predictions(rows, baseline_fit(spark, sf_dir))
     long = df.select(
         *cols,
         F.inline(F.array(*[

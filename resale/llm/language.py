@@ -10,8 +10,11 @@ language and of about its length show: short texts score low, so there is a boun
 per range of lengths, learned from whole texts and from first parts of texts.
 
 The classifier is fitted on a bounded sample: per language the
-``per_language`` rows with the smallest hash of their id; their vectors (not
-their texts) go to the driver.  Languages beyond ``max_languages`` are an error.
+``per_language`` ids with the smallest hash, ``MAX_ROWS`` in all languages
+together; of an id with several texts or languages the smallest is taken, and rows
+without an id are not learned from.  Two
+vectors of 16 KB per id (not the texts) go to the driver, so at most 128 MB.
+Languages beyond ``max_languages`` are an error.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0
 and is rejected; repeated rows give repeated rows; ties go to the language that
@@ -30,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from resale.llm.common import SLICE_BYTES, hashed_sample, keyed, slices, strings
+from resale.llm.common import hashed_sample, keyed, slices, strings, trimmed
 
 DIMS = 4096
 ORDERS = (1, 2, 3)
 PER_LANGUAGE = 400
 MAX_LANGUAGES = 200
+#: Training rows of all languages together.
+MAX_ROWS = 4000
 CENTROIDS = 3
 #: A text is rejected below MARGIN times the cosine that this share of held-out training texts stays under.
 LOW, MARGIN = 0.01, 0.85
@@ -48,6 +53,8 @@ LEAST_ROWS = 100
 UNKNOWN = "und"
 #: Characters counted at once of a very long text.
 BLOCK = 1 << 20
+#: Bytes of text held as strings, and texts whose vectors are made, at once.
+SLICE, TOGETHER = 1 << 20, 128
 
 
 @lru_cache(maxsize=1)
@@ -153,13 +160,16 @@ def _least(v: np.ndarray, own: np.ndarray, tests: list[tuple[np.ndarray, np.ndar
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model | None:
     """Fit on a bounded sample of the labelled rows of ``docs``; None if there are none."""
     rows = keyed(docs, id_col, text_col)
-    labelled = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null")
-    chosen = hashed_sample(labelled, per_language, "lang").limit(per_language * max_languages + 1)
-    picked = {r.doc_id: r.lang for r in chosen.collect()}
+    labelled = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang")).where("doc_id is not null and lang is not null")
+    n_languages = labelled.select("lang").distinct().limit(max_languages + 1).count()
+    if n_languages > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
+    per_language = min(per_language, max(MAX_ROWS // max(n_languages, 1), 1))
+    picked: dict[int, str] = {}
+    for r in sorted(hashed_sample(labelled, per_language, "lang").collect(), key=lambda r: (r.doc_id, r.lang)):  # at most MAX_ROWS
+        picked.setdefault(r.doc_id, r.lang)
     if not picked:
         return None
-    if len(set(picked.values())) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -168,7 +178,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _, _ in got], pa.int64()), *packed], ["doc_id", "counts", "part"])
 
     ids = docs.sparkSession.createDataFrame([(i,) for i in picked], "doc_id long")  # bounded by the sample
-    sample = rows.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(step, "doc_id long, counts binary, part binary")
+    texts = rows.join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    sample = texts.mapInArrow(step, "doc_id long, counts binary, part binary")
     found = sorted((picked[r.doc_id], r.doc_id, bytes(r.counts), bytes(r.part or b"")) for r in sample.collect())
     if not found:
         return None
@@ -203,16 +214,17 @@ def keep_accepted(docs: DataFrame, model: Model | None, text_col: str = "text")
 
 def _predictor(model: Model | None, text: str, keep: list[str]):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, text, SLICE_BYTES // 8):
-            found = [None if model is None else counts(t) for t in strings(b.column(text))]
-            some = [i for i, c in enumerate(found) if c is not None]
-            lang, score, rejected = [UNKNOWN] * len(found), np.zeros(len(found)), np.ones(len(found), bool)
-            for at in range(0, len(some), 512):
-                part = some[at : at + 512]
-                names, score[part], rejected[part] = model.predict(np.array([found[i] for i in part]))
-                for i, name in zip(part, names):
-                    lang[i] = name
+        for b in slices(batches, text, SLICE):
+            texts = strings(b.column(text))
+            lang, score, rejected = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
+            for at in range(0, len(texts) if model else 0, TOGETHER):
+                found = [(at + i, c) for i, t in enumerate(texts[at : at + TOGETHER]) if (c := counts(t)) is not None]
+                if found:
+                    part = [i for i, _ in found]
+                    names, score[part], rejected[part] = model.predict(np.array([c for _, c in found]))
+                    for i, name in zip(part, names):
+                        lang[i] = name
             cols = [b.column(c) for c in keep]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(lang), pa.array(score), pa.array(rejected)], [*keep, "lang_pred", "score", "rejected"])
 
-    return step
+    return trimmed(step)

@@ -9,7 +9,8 @@ text has only ancestors with main text, so an ancestor and its descendants
 cannot contradict each other; leaves labelled as main text are the result.
 
 The model is fitted on a bounded sample of pages (``max_pages`` with the
-smallest hash of their id) that mark their article by an element of that kind;
+smallest hash of their id, ``max_chars`` characters in all, longer pages left out
+first) that mark their article by an element of that kind;
 nodes inside it that are no menu, form, notice or comment are the positive
 ones.  Copies of the sample with other element names and attributes, without
 them, and with menus, comments, notices and forms made of the sample's own
@@ -32,18 +33,24 @@ from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from resale.llm.common import hashed_sample, slices, strings
 
-MAX_PAGES = 200
+MAX_PAGES, MAX_CHARS = 200, 8_000_000
 MAX_TOKENS = 72
 TREES, DEPTH, BINS, RATE = 40, 4, 32, 0.25
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "cite", "code", "data", "dfn", "em", "font", "i", "kbd", "mark", "q", "s", "samp", "small", "span", "strong", "sub", "sup", "time", "tt", "u", "var", "big", "strike", "ins", "del", "label"}
-SKIPPED = {"script", "style", "noscript", "template", "head", "title", "svg", "iframe", "object", "math", "canvas", "textarea", "select", "option", "button"}
+INLINE |= {"math", "mi", "mo", "mn", "ms", "mtext", "mrow", "mfrac", "msqrt", "mroot", "msup", "msub", "msubsup", "mover", "munder", "semantics"}
+SKIPPED = {"script", "style", "template", "head", "title", "svg", "iframe", "textarea", "select", "datalist", "option", "optgroup", "button"}
+#: A start tag that ends an open option.
+OPTIONS = {"option": {"option"}, "optgroup": {"option", "optgroup"}}
+#: Blocks of text; inside a skipped element that is none of RAW they show that its end tag is missing.
+BLOCKS = {"article", "main", "section", "p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "table", "blockquote", "pre"}
+RAW = {"script", "style", "template", "title", "textarea", "head"}
 #: Elements that do not end a head, and the white space that does not.
 HEAD = {"head", "title", "meta", "link", "style", "script", "base", "noscript", "template"}
 SPACE = " \t\n\f\r"
@@ -70,7 +77,7 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root")
         self.open = [self.root]
-        self.skip: list[str] = []
+        self.skip: list[str] = []  # a skipped element and the open elements inside it
         self.links = 0
         self.run: list[str] = []
         self.run_linked = 0
@@ -84,12 +91,14 @@ class _Tree(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if self.skip == ["head"] and tag not in HEAD:
             self.skip = []  # the end tag of a head may be left out
-        if tag in SKIPPED:
+        if self.skip and tag in OPTIONS and self.skip[-1] in OPTIONS[tag]:
+            self.skip.pop()  # as may that of an option
+        if self.skip and tag in BLOCKS and not RAW.intersection(self.skip):
+            self.skip = []  # no such element holds a block of text: its end tag is missing
+        if self.skip or tag in SKIPPED:
             if tag not in VOID and not (tag == "head" and self.skip):
                 self.skip.append(tag)
             return
-        if self.skip:
-            return
         if tag == "a":
             self.links = 1
         if tag in INLINE:
@@ -121,8 +130,11 @@ class _Tree(HTMLParser):
     def handle_endtag(self, tag):
         if self.skip:
             if tag in self.skip:
-                del self.skip[self.skip.index(tag) :]
-            return
+                del self.skip[len(self.skip) - 1 - self.skip[::-1].index(tag) :]
+                return
+            if tag in INLINE or all(n.tag != tag for n in self.open):
+                return
+            self.skip = []  # the end of an element around a skipped one ends both
         if tag == "a":
             self.links = 0
         if tag in INLINE or tag in VOID:
@@ -420,15 +432,19 @@ def extract(htmls: list[str], model: Model | None) -> list[str]:
     return out
 
 
-def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = MAX_PAGES) -> Model | None:
-    """Fit on the ``max_pages`` pages with the smallest hash of their id."""
+def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = MAX_PAGES, max_chars: int = MAX_CHARS) -> Model | None:
+    """Fit on the ``max_pages`` ids with the smallest hash (of an id with several pages the smallest), ``max_chars`` characters in all."""
     rows = pages.select(F.col(id_col).cast("long").alias("doc_id"), F.col(html_col).cast("string").alias("h")).where("h is not null and doc_id is not null")
-    chosen = hashed_sample(rows.select("doc_id"), max_pages).distinct().collect()  # ids only, bounded by max_pages
+    chosen = hashed_sample(rows.select("doc_id"), max_pages).collect()  # distinct ids only, bounded by max_pages
     if not chosen:
         return None
     ids = pages.sparkSession.createDataFrame([(r.doc_id,) for r in chosen], "doc_id long")
-    sample = rows.join(F.broadcast(ids), "doc_id", "left_semi").limit(2 * max_pages).collect()  # ids may repeat
-    return train([r.h for r in sorted(sample, key=lambda r: (r.doc_id, r.h))])
+    one = rows.join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("h").alias("h"))
+    # whole pages from the shortest on while they fit (a window over at most max_pages rows), the shortest one always
+    by = Window.orderBy("size", "doc_id")
+    fits = one.withColumn("size", F.length("h")).select("*", F.sum("size").over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("sum"), F.row_number().over(by).alias("nth"))
+    sample = fits.where((F.col("sum") <= max_chars) | (F.col("nth") == 1)).select("doc_id", "h").collect()
+    return train([r.h for r in sorted(sample, key=lambda r: r.doc_id)])
 
 
 def main_text(pages: DataFrame, model: Model | None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -2,10 +2,11 @@
 
 *Layouts.*  A record's layout is the set of its nested field paths; a
 fingerprint (hash of the sorted paths) selects a declarative mapping from a
-registry, and the mapping says which paths hold the turns.  Columns of a table
-have one fingerprint, taken from the schema; JSON records have one per row,
-taken from the paths of their parsed value.  Both kinds end in canonical turns
-``(conv_id, turn, role, text)``.
+registry, and the mapping says which paths hold the turns.  A table has one
+fingerprint, taken from its schema: of the paths whose hash some mapping knows
+(other columns do not count), or, if that hash is not registered, of the largest
+layout among them.  JSON records have one per row, taken from the paths of their
+parsed value.  Both kinds end in canonical turns ``(conv_id, turn, role, text)``.
 
 *Template.*  Each turn becomes ``<|turn|>role<|text|>text<|end|>``.  Control
 strings inside roles and texts (those of this template and common foreign
@@ -16,14 +17,16 @@ list of code-point spans that hold assistant texts.
 Defined results: null roles and texts are empty; a null conversation id is one
 conversation of its own; turns are ordered by turn (null first), role, text;
 repeated rows are repeated turns; a record whose layout is not registered
-gives no turns and is returned by :func:`unknown_layouts`; an empty table
-gives an empty table; other columns are not read.
+gives no turns and is returned by :func:`unknown_layouts`; a table whose layout
+is not registered is an error; an empty table gives an empty table; other columns
+are not read.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,6 +75,12 @@ def fingerprint(skeleton: Column) -> Column:
     return F.xxhash64(skeleton)
 
 
+def fingerprint_of(text: str) -> int:
+    """:func:`fingerprint` of a known string."""
+    h = xxhash.xxh64(text.encode(), seed=42).intdigest()
+    return h - ((h >> 63) << 64)
+
+
 @dataclass(frozen=True)
 class Layout:
     """A layout and where its turns are.
@@ -113,18 +122,44 @@ def _role(c: Column, layout: Layout) -> Column:
     return out
 
 
-def turns_of_table(df: DataFrame, layouts: list[Layout] = LAYOUTS, columns: list[str] | None = None) -> DataFrame:
-    """Canonical turns of a table; the fingerprint of its (chosen) columns selects the mapping."""
-    chosen = df.select(*columns) if columns else df
-    mine = skeleton_of(schema_paths(chosen.schema))
-    found = [x for x in layouts if x.skeleton == mine and x.rows]
-    if not found:
-        raise ValueError(f"no mapping for the layout {mine}")
-    conv, turn, role, text = found[0].rows
-    return chosen.select(
-        F.col(conv).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"),
-        _role(F.col(role).cast("string"), found[0]).alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-    )
+def registry(layouts: list[Layout]) -> dict[int, Layout]:
+    """Mappings by the fingerprint of their layout."""
+    return {fingerprint_of(x.skeleton): x for x in layouts}
+
+
+def select_layout(paths: list[str], layouts: list[Layout] = LAYOUTS) -> Layout | None:
+    """The mapping whose fingerprint these field paths have, or of the largest layout they hold (of equal ones the first)."""
+    known = {fingerprint_of(p) for x in layouts for p in x.paths}
+    mine = [p for p in paths if fingerprint_of(p) in known]
+    by_fingerprint = registry(layouts)
+    hit = by_fingerprint.get(fingerprint_of(skeleton_of(mine)))
+    if hit:
+        return hit
+    held = [x for x in layouts if set(x.paths) <= set(mine)]
+    return max(held, key=lambda x: len(x.paths), default=None)
+
+
+def turns_of_table(df: DataFrame, layouts: list[Layout] = LAYOUTS, id_col: str = "conv_id") -> DataFrame:
+    """Canonical turns of a table; the fingerprint of its schema selects the mapping.
+
+    Layouts with a row per turn name their conversation column; of other ones ``id_col`` is the key.
+    """
+    found = select_layout(schema_paths(df.schema), layouts)
+    if found is None:
+        raise ValueError(f"no mapping for the layout {skeleton_of(schema_paths(df.schema))}")
+    if found.rows:
+        conv, turn, role, text = found.rows
+        return df.select(
+            F.col(conv).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"),
+            _role(F.col(role).cast("string"), found).alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
+        )
+    if found.messages:
+        path, role, text = found.messages
+        turns = F.transform(F.col(path), lambda m: F.struct(_role(m[role].cast("string"), found).alias("role"), F.coalesce(m[text].cast("string"), F.lit("")).alias("text")))
+    else:
+        turns = F.array(*[F.struct(F.lit(r).alias("role"), F.coalesce(F.col(p).cast("string"), F.lit("")).alias("text")) for r, p in found.turns])
+    rows = df.select(F.col(id_col).cast("long").alias("conv_id"), F.posexplode(turns).alias("turn", "m"))
+    return rows.select("conv_id", F.col("turn").cast("long").alias("turn"), "m.role", "m.text")
 
 
 def record_skeleton(value: Column) -> Column:

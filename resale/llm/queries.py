@@ -27,7 +27,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format every conversation, and one made of control strings, and read the output back."""
     tricky = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], chat.TURN_SCHEMA)
-    turns = chat.turns_of_table(table(spark, sf_dir, "conversations"), columns=["conv_id", "turn", "role", "text"])
+    turns = chat.turns_of_table(table(spark, sf_dir, "conversations"))
     return chat.digests(chat.format_turns(turns.unionByName(extra)))
 
 

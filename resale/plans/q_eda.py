@@ -24,7 +24,7 @@ eda AS (SELECT * FROM processed WHERE bucket < {K.EDA_TRAIN_SHARE})"""
 
 
 def eda_frame(spark, sf_dir):
-    return P.processed(spark, sf_dir).where(F.col("bucket") < K.EDA_TRAIN_SHARE)
+    return P.processed_rows(spark, sf_dir).where(F.col("bucket") < K.EDA_TRAIN_SHARE)
 
 
 def _x(c):

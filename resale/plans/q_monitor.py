@@ -100,7 +100,7 @@ def d03_unknown_key_alarm(spark, sf_dir):
     """D-03: share of test rows with a model key unseen in train; alarm above 10 %."""
     from resale.operators.encoders import unknown_key_share
 
-    p = P.processed(spark, sf_dir)
+    p = P.processed_rows(spark, sf_dir)
     u = unknown_key_share(p.where(F.col("data_split") == "test"), p.where(F.col("data_split") == "train"))
     return u.select("unknown_pct", (F.col("unknown_pct") > K.UNKNOWN_KEY_ALERT).alias("alarm"))
 

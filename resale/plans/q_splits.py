@@ -85,7 +85,7 @@ FROM a"""
 @query("l07_leakage_audit", _audit_sql())
 def l07_leakage_audit(spark, sf_dir):
     """L-07: deny-list check plus |corr(feature, price)| above a bound, on train rows, in one scan."""
-    t = P.processed(spark, sf_dir).where(F.col("data_split") == "train")
+    t = P.processed_rows(spark, sf_dir).where(F.col("data_split") == "train")
     long = moments.matrix(t, [("price", c) for c in AUDIT_COLUMNS]).select(F.col("col_b").alias("column_name"), F.col("r").alias("corr_with_price"))
     denied = F.col("column_name").isin(K.LEAKY_COLUMNS)
     return long.select(

@@ -28,7 +28,7 @@ SELECT {KEYS_SQL}, data_split, {R('fuel_encoded', 'fuel_encoded')}, {R('color_en
   {R('car_type_encoded', 'car_type_encoded')} FROM processed""")
 def e02_target_encoding_apply(spark, sf_dir):
     """E-02: encodings looked up; unseen -> mean of the encoded column within the split."""
-    return P.processed(spark, sf_dir).select(*KEYS, "data_split", "fuel_encoded", "color_encoded", "car_type_encoded")
+    return P.processed_rows(spark, sf_dir).select(*KEYS, "data_split", "fuel_encoded", "color_encoded", "car_type_encoded")
 
 
 @query("e03_serving_encoding", f"""{WITH_PARAMS},
@@ -72,8 +72,7 @@ d AS ({_label_fit_sql()})
 SELECT feature, category, {I('dense_rank() OVER (PARTITION BY feature ORDER BY category) - 1', 'code')} FROM d""")
 def e05_label_encoder_fit(spark, sf_dir):
     """E-05: sorted distinct text per string column -> 0..n-1 (null reads 'nan')."""
-    t = P.processed(spark, sf_dir).where(F.col("data_split") == "train")
-    return encoders.fit_label_encoder(t, LABEL_COLUMNS)
+    return P.label_codes(spark, sf_dir)
 
 
 def _label_apply_sql():
@@ -94,9 +93,8 @@ SELECT t.order_key, t.line_number, t.part_key, t.supp_key, {', '.join(_C)}
 FROM processed t {' '.join(_J)} WHERE t.data_split = 'test'""")
 def e06_label_encoder_apply(spark, sf_dir):
     """E-06: label codes on the test rows; text unseen in train -> -1."""
-    p = P.processed(spark, sf_dir)
-    codes = encoders.fit_label_encoder(p.where(F.col("data_split") == "train"), LABEL_COLUMNS)
-    out = encoders.apply_label_encoder(p.where(F.col("data_split") == "test"), codes, LABEL_COLUMNS)
+    p = P.processed_rows(spark, sf_dir)
+    out = encoders.apply_label_encoder(p.where(F.col("data_split") == "test"), P.label_codes(spark, sf_dir), LABEL_COLUMNS)
     return out.select(*KEYS, *[f"{c}_code" for c in LABEL_COLUMNS])
 
 
@@ -107,9 +105,8 @@ SELECT t.order_key, t.line_number, t.part_key, t.supp_key, t.data_split, {', '.j
 FROM processed t {' '.join(_J)}""")
 def e06_label_encoder_all_splits(spark, sf_dir):
     """E-06: label codes of the train rows on the rows of all splits; text unseen in train -> -1."""
-    p = P.processed(spark, sf_dir)
-    codes = encoders.fit_label_encoder(p.where(F.col("data_split") == "train"), LABEL_COLUMNS)
-    out = encoders.apply_label_encoder(p, codes, LABEL_COLUMNS)
+    p = P.processed_rows(spark, sf_dir)
+    out = encoders.apply_label_encoder(p, P.label_codes(spark, sf_dir), LABEL_COLUMNS)
     return out.select(*KEYS, "data_split", *[f"{c}_code" for c in LABEL_COLUMNS])
 
 

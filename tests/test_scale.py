@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from resale.functions import constants as K
 from resale.functions.exprs import first_match
-from resale.operators import encoders, features, quantiles
+from resale.operators import encoders, features, models, quantiles
 from resale.operators.splits import assign_split
 from resale.plans import prepared as P
 from resale.plans import q_sources
@@ -82,3 +82,17 @@ def test_golden_rows_are_a_bounded_top(spark):
     rank = F.row_number().over(Window.partitionBy("quartile").orderBy(h, *q_sources.KEYS))
     want = t.withColumn("quartile", quart).withColumn("r", rank).where(F.col("r") <= K.GOLDEN_ROWS_PER_QUARTILE).select(*q_sources.GOLDEN_COLUMNS)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_tree_fits_use_the_cores(spark, monkeypatch):
+    monkeypatch.setattr(models, "FIT_ROWS", 100)
+    cores = min(spark.sparkContext.defaultParallelism, 10)
+
+    def largest(df):
+        return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+    few = models.narrow(spark.range(1000).coalesce(1))  # one file, one row group
+    assert largest(few) <= 2 * -(-1000 // cores) and few.count() == 1000 and few.rdd.getNumPartitions() == cores
+    many = models.narrow(spark.range(0, 1000, 1, 4 * cores))
+    assert many.rdd.getNumPartitions() == cores and "Exchange" not in text_of(many, "simple")
+    assert models.narrow(spark.range(0)).count() == 0

@@ -16,6 +16,7 @@ from resale.operators.splits import assign_split
 from resale.plans import prepared as P
 from resale.plans import q_sources
 from resale.session import setting
+from resale.sources import tables
 from resale.sources.tables import listings
 
 
@@ -96,3 +97,23 @@ def test_tree_fits_use_the_cores(spark, monkeypatch):
     many = models.narrow(spark.range(0, 1000, 1, 4 * cores))
     assert many.rdd.getNumPartitions() == cores and "Exchange" not in text_of(many, "simple")
     assert models.narrow(spark.range(0)).count() == 0
+
+
+def test_listings_of_one_row_group_use_the_cores(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "parts_for", lambda df, cores, parts_for=tables.parts_for: parts_for(df, cores, 100))
+    day = F.lit("2024-01-05 00:00:00").cast("timestamp")
+    made = {
+        "lineitem": spark.range(1000).selectExpr(
+            "id l_orderkey", "id % 7 l_partkey", "id % 50 l_suppkey", "1 l_linenumber", "2D l_quantity", "1000D + id l_extendedprice",
+            "'A' l_returnflag", "'F' l_linestatus").withColumn("l_shipdate", day),
+        "orders": spark.range(1000).selectExpr("id o_orderkey", "'1-URGENT' o_orderpriority").withColumn("o_orderdate", day),
+        "part": spark.range(7).selectExpr("id p_partkey", "'STEEL' p_type", "cast(id as int) p_size"),
+    }
+    for name, df in made.items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")  # one file, one row group
+    got, cores = listings(spark, str(tmp_path)), min(spark.sparkContext.defaultParallelism, 10)
+    held = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 1000 and max(held) <= 2 * -(-1000 // cores)
+    assert got.select("order_key").distinct().count() == 1000
+    even = spark.range(0, 1000, 1, 4 * cores)
+    assert "Exchange" not in text_of(tables.dealt(even), "simple") and tables.dealt(spark.range(0)).count() == 0

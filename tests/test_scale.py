@@ -117,3 +117,5 @@ def test_listings_of_one_row_group_use_the_cores(spark, tmp_path, monkeypatch):
     assert got.select("order_key").distinct().count() == 1000
     even = spark.range(0, 1000, 1, 4 * cores)
     assert "Exchange" not in text_of(tables.dealt(even), "simple") and tables.dealt(spark.range(0)).count() == 0
+    long = spark.range(0, 100 * 50 * 4 * cores, 1, spark.sparkContext.defaultParallelism)  # many rows on all cores: no shuffle either
+    assert "Exchange" not in text_of(tables.dealt(long), "simple")

@@ -206,6 +206,17 @@ def test_decontamination_of_reordered_items(spark):
     assert {r.doc_id: r.item_ids for r in got} == {i: ",".join(map(str, h)) for i, h in want.items()}
 
 
+def test_key_filter_holds_every_key(spark):
+    rows = [(i * 7919 - 100, i * i * 104729 - 5) for i in range(3000)] + [(None, 5), (-1, -1)]
+    keys = spark.createDataFrame(rows, "k long, h long")
+    bits = decontaminate.key_filter(keys, "k", "h")
+    assert bits.count() == 1 and len(bits.first()[0]) == decontaminate.FILTER_BITS // 64
+    assert decontaminate.may_be_held(keys, bits, F.col("k"), F.col("h")).count() == len(rows)
+    others = keys.select((F.col("k") + 1).alias("k"), (F.col("h") + 1).alias("h"))
+    assert decontaminate.may_be_held(others, bits, F.col("k"), F.col("h")).count() < 30
+    assert decontaminate.may_be_held(keys, decontaminate.key_filter(keys.limit(0), "k", "h"), F.col("k"), F.col("h"), held=False).count() == len(rows)
+
+
 def test_block_neighbours_cover_the_radius(spark):
     rng = random.Random(9)
     rows = []

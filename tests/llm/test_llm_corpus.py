@@ -206,6 +206,32 @@ def test_decontamination_of_reordered_items(spark):
     assert {r.doc_id: r.item_ids for r in got} == {i: ",".join(map(str, h)) for i, h in want.items()}
 
 
+def test_texts_without_an_item_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """Of the texts only those that hold parts of an item are sent to other tasks, also where nothing is broadcast by its size."""
+    item = " ".join(f"i{k}" for k in range(40))
+    rows = [(i, " ".join(f"{i}x{k}" for k in range(400)) + (f" {item} {i}" if i % 50 == 0 else ""), i) for i in range(400)] + [(None, item, 1), (50, "else", 2), (7, None, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _filter int")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    before, threshold = decontaminate.may_be_held, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    sent = []
+
+    def seen(*args, held=True):
+        out = before(*args, held=held)
+        sent.append((held, out.count()))
+        return out
+
+    monkeypatch.setattr(decontaminate, "may_be_held", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        clean = decontaminate.keep_clean(docs, bench)
+        assert clean.columns == docs.columns
+        kept = collections.Counter(tuple(r) for r in clean.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert kept == collections.Counter(r for r in rows if not (r[1] or "").endswith(item) and item not in (r[1] or ""))
+    assert [n for held, n in sent if held] == [9, 9] and [n for held, n in sent if not held] == [len(rows) - 9]
+
+
 def test_key_filter_holds_every_key(spark):
     rows = [(i * 7919 - 100, i * i * 104729 - 5) for i in range(3000)] + [(None, 5), (-1, -1)]
     keys = spark.createDataFrame(rows, "k long, h long")
